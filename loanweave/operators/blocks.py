@@ -102,7 +102,7 @@ def _frame(row_id, col_id, score) -> pd.DataFrame:
 def best_of_tile(
     rows: np.ndarray, cols: np.ndarray, tile: np.ndarray, k: int, digits: int, skip=None, above: float | None = None
 ) -> pd.DataFrame:
-    """Up to ``k`` best columns of every row by rounded score, then column id."""
+    """Up to ``k`` best columns of every row, compared by rounded score, then column id."""
     shown = np.round(tile, digits)
     if skip is not None:
         shown[skip] = -np.inf
@@ -118,7 +118,8 @@ def best_of_tile(
     at_row, at_col, value = at_row[order], at_col[order], value[order]
     first = np.searchsorted(at_row, at_row, "left")
     kept = np.arange(len(at_row)) - first < k
-    return _frame(rows[at_row[kept]], cols[at_col[kept]], value[kept])
+    at_row, at_col = at_row[kept], at_col[kept]
+    return _frame(rows[at_row], cols[at_col], tile[at_row, at_col])
 
 
 def _moments(rows: np.ndarray, tile: np.ndarray) -> pd.DataFrame:
@@ -153,9 +154,9 @@ def _run(parts: DataFrame, keys: list[str], kernel, tasks: int) -> DataFrame:
     return spread.groupBy(*keys).applyInPandas(kernel, _OUT)
 
 
-def _merge(found: DataFrame, k: int) -> DataFrame:
+def _merge(found: DataFrame, k: int, digits: int) -> DataFrame:
     """Best ``k`` of the per-block lists; the limit is applied before and after the shuffle."""
-    best = Window.partitionBy("row_id").orderBy(F.desc("score"), "col_id")
+    best = Window.partitionBy("row_id").orderBy(F.desc(F.round("score", digits)), "col_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
@@ -235,11 +236,10 @@ def sparse_product(
 def _finish(out: DataFrame, whole: bool, k: int, above: float | None, moments: bool, digits: int) -> DataFrame:
     if moments:
         out = cut_lineage(out)
-    scored = out.filter(F.col("col_id").isNotNull())
-    shown = scored.withColumn("score", F.round("score", digits))
+    scored = out.filter(F.col("col_id").isNotNull()).select("row_id", "col_id", "score")
     if above is not None:
-        shown = shown.filter(F.col("score") > above)
-    best = _merge(shown.select("row_id", "col_id", "score"), k)
+        scored = scored.filter(F.round("score", digits) > above)
+    best = _merge(scored, k, digits)
     if not moments:
         return best
     if whole:
@@ -317,8 +317,8 @@ def gram(
         if above is not None and not whole:
             out = out.filter(F.round("score", digits) > above)
         return out.select("row_id", "col_id", "score")
-    shown = out.select("row_id", "col_id", F.round("score", digits).alias("score"))
-    return _merge(shown.filter(F.col("score") > (above if above is not None else 0.0)), k)
+    floor = above if above is not None else 0.0
+    return _merge(out.select("row_id", "col_id", "score").filter(F.round("score", digits) > floor), k, digits)
 
 
 def dense_product(
