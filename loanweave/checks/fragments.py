@@ -73,12 +73,12 @@ PARTS: dict[str, str] = {
     "unorm": "SELECT u, sqrt(sum(r * r)) AS norm FROM ratings GROUP BY u",
     "inorm": "SELECT i, sqrt(sum(r * r)) AS norm FROM ratings GROUP BY i",
     "alike": """
-        SELECT a.i, b.i AS neighbour, round(sum(a.r * b.r / (x.norm * y.norm)), 9) AS similarity
+        SELECT a.i, b.i AS neighbour, sum(a.r * b.r / (x.norm * y.norm)) AS similarity
         FROM ratings a JOIN ratings b ON a.u = b.u AND a.i <> b.i
         JOIN inorm x ON x.i = a.i JOIN inorm y ON y.i = b.i GROUP BY a.i, b.i""",
     "neighbours": """
         SELECT * FROM (SELECT i, neighbour, similarity,
-                              row_number() OVER (PARTITION BY i ORDER BY similarity DESC, neighbour) AS rank
+                              row_number() OVER (PARTITION BY i ORDER BY round(similarity, 9) DESC, neighbour) AS rank
                        FROM alike) WHERE rank <= 100""",
     "item_item": """
         SELECT r.u, n.neighbour AS i, sum(r.r * n.similarity) AS score

@@ -301,11 +301,14 @@ def catalog_with_counts(spark, folder):
 @query(
     "catalog_search_sorted_page",
     statement(
-        "loans items listing",
-        """SELECT i, "Title" AS title, "Author" AS author, borrow_count FROM listing
-           WHERE regexp_matches(lower("Title"), 'red|blue.*bolt') AND regexp_matches(lower("Author"), 'brand#1')
-           ORDER BY borrow_count DESC, i LIMIT 20 OFFSET 20""",
-        _COUNTED,
+        "loans items listing found",
+        """SELECT i, "Title" AS title, "Author" AS author, borrow_count FROM found ORDER BY borrow_count DESC, i
+           LIMIT 20 OFFSET (SELECT least(1, greatest(1, CAST(ceil(count(*) / 20) AS BIGINT)) - 1) * 20 FROM found)""",
+        {
+            **_COUNTED,
+            "found": """SELECT * FROM listing WHERE regexp_matches(lower("Title"), 'red|blue.*bolt')
+                        AND regexp_matches(lower("Author"), 'brand#1')""",
+        },
     ),
 )
 def catalog_search_sorted_page(spark, folder):

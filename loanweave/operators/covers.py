@@ -18,7 +18,7 @@ def latest_rows(cache: DataFrame, order: str = "seq") -> DataFrame:
 
 def upsert(cache: DataFrame, updates: DataFrame) -> DataFrame:
     """Cache with the updates merged in on (item, size); write it to another path than it was read from."""
-    kept = cache.join(updates.select(*KEY), KEY, "left_anti")
+    kept = cache.join(updates.select(*KEY), KEY, "left_anti").select(*cache.columns)
     return kept.unionByName(updates.select(*cache.columns))
 
 
