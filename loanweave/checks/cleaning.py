@@ -304,10 +304,10 @@ def attach_singletons(spark, folder):
 @query(
     "attach_by_embedding",
     statement(
-        "emb emb_unit",
+        "emb emb_exact",
         """SELECT s.i AS id, arg_max(c.i, round(list_dot_product(s.e, c.e), 9) * 1e6 - c.i * 1e-9) AS parent,
                   round(max(list_dot_product(s.e, c.e)), 6) AS similarity
-           FROM emb_unit s JOIN embeddings sl ON sl.vec_id = s.i AND sl.label < 5, emb_unit c
+           FROM emb_exact s JOIN embeddings sl ON sl.vec_id = s.i AND sl.label < 5, emb_exact c
            JOIN embeddings cl ON cl.vec_id = c.i AND cl.label >= 5
            WHERE list_dot_product(s.e, c.e) >= 0.2 GROUP BY s.i""",
     ),

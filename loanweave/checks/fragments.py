@@ -109,6 +109,7 @@ PARTS: dict[str, str] = {
         SELECT u, list(x ORDER BY pos) AS e, sqrt(sum(x * x)) AS len FROM profile_long GROUP BY u""",
     "emb_unit": """
         SELECT i, list_transform(e, lambda x: x / (sqrt(list_dot_product(e, e)) + 1e-8)) AS e FROM emb""",
+    "emb_exact": "SELECT i, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM emb",
     "profile_unit": """
         SELECT u, list_transform(e, lambda x: x / (len + 1e-8)) AS e FROM profiles""",
 }

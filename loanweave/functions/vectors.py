@@ -28,6 +28,12 @@ def unit(vector: Column) -> Column:
     return F.transform(vector, lambda x: x / length)
 
 
+def unit_exact(vector: Column) -> Column:
+    """Vector over its exact length; zero vectors stay as they are."""
+    length = F.sqrt(dot(vector, vector))
+    return F.when(length == 0, vector).otherwise(F.transform(vector, lambda x: x / length))
+
+
 def zeros(size: int) -> Column:
     return F.array_repeat(F.lit(0.0), size)
 

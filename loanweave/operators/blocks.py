@@ -1,14 +1,15 @@
 """Blocked products of sparse matrices and of factor tables, reduced to top-k lists inside each block.
 
-Rows and columns are hashed to blocks of about ``BLOCK_IDS`` distinct ids and the shared axis to chunks.
-One task holds one (row block, column block, chunk): its size is bounded by the block sizes, so a key that
-owns a large share of all entries is spread over many tasks, and no pair of ids is emitted unless its
-score is asked for.
+Rows and columns are hashed to blocks that hold at most ``BLOCK_ENTRIES`` entries on average. One task
+holds one row block and one column block and walks over slices of its rows, so no pair of ids is emitted
+unless its score is asked for, and memory does not depend on how many pairs there are. A row or column
+that alone exceeds the limit is cut along the shared axis and its partial sums are added up.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,24 +18,27 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, task_slots
 
-BLOCK_IDS = 2048
-CHUNK_ENTRIES = 1_000_000
+BLOCK_ENTRIES = 4_000_000
 _SLICE_PAIRS = 1 << 21
+_SLICE_CELLS = 1 << 22
 _LEFT, _RIGHT, _SKIP, _ASK = 0, 1, 2, 3
 _OUT = "row_id long, col_id long, score double, total double, squares double"
 
 
 def grid(rows: int, cols: int, row_entries: int, col_entries: int, slots: int) -> tuple[int, int]:
-    """Row and column blocks: tiles of at most ``BLOCK_IDS`` squared cells, at least one per core.
+    """Row and column blocks: enough for the entry limit and for every core.
 
     Every row entry is copied once per column block and the other way round, so the side with more
-    entries gets more blocks of its own and is copied less.
+    entries is the one cut into more blocks.
     """
     rows, cols = max(rows, 1), max(cols, 1)
-    tiles = max(slots, rows * cols / BLOCK_IDS**2)
-    across = min(max(1, round(math.sqrt(tiles * max(row_entries, 1) / max(col_entries, 1)))), rows)
-    down = min(max(1, math.ceil(tiles / across)), cols)
-    return min(max(across, math.ceil(tiles / down)), rows), down
+    least_across = math.ceil(max(row_entries, 1) / BLOCK_ENTRIES)
+    least_down = math.ceil(max(col_entries, 1) / BLOCK_ENTRIES)
+    tiles = max(slots, least_across * least_down)
+    across = max(least_across, round(math.sqrt(tiles * max(row_entries, 1) / max(col_entries, 1))))
+    across = min(across, rows)
+    down = min(max(least_down, math.ceil(tiles / across)), cols)
+    return min(max(across, math.ceil(slots / down)), rows), down
 
 
 def _block(column: str, blocks: int) -> Column:
@@ -45,53 +49,51 @@ def _every(blocks: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
 
-def sparse_tile(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row ids, column ids and the dense product of two entry lists ``id, mid, value``."""
+def sparse_tiles(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Product of two entry lists ``id, mid, value``, as (row ids, column ids, dense scores) row slice by row slice."""
     rows, row_at = np.unique(left["id"].to_numpy(), return_inverse=True)
     cols, col_at = np.unique(right["id"].to_numpy(), return_inverse=True)
     order = np.argsort(right["mid"].to_numpy(), kind="stable")
     right_mid = right["mid"].to_numpy()[order]
     col_at, right_value = col_at[order], right["value"].to_numpy()[order]
-    left_mid, left_value = left["mid"].to_numpy(), left["value"].to_numpy()
+    by_row = np.argsort(row_at, kind="stable")
+    row_at = row_at[by_row]
+    left_mid, left_value = left["mid"].to_numpy()[by_row], left["value"].to_numpy()[by_row]
     low = np.searchsorted(right_mid, left_mid, "left")
     count = np.searchsorted(right_mid, left_mid, "right") - low
-    tile = np.zeros(len(rows) * len(cols))
-    mids = np.unique(right_mid)
-    if count.sum() * 32 > len(rows) * len(cols) * len(mids):
-        # dense enough for matrix products over slices of the shared axis
-        tile = tile.reshape(len(rows), len(cols))
-        step = max(1, _SLICE_PAIRS // max(len(rows), len(cols), 1))
-        for start in range(0, len(mids), step):
-            part = mids[start : start + step]
-            lhs, rhs = np.zeros((len(rows), len(part))), np.zeros((len(part), len(cols)))
-            at = np.searchsorted(part, left_mid)
-            hit = (at < len(part)) & (part[np.minimum(at, len(part) - 1)] == left_mid)
-            np.add.at(lhs, (row_at[hit], at[hit]), left_value[hit])
-            inside = slice(*np.searchsorted(right_mid, [part[0], part[-1] + 1]))
-            np.add.at(rhs, (np.searchsorted(part, right_mid[inside]), col_at[inside]), right_value[inside])
-            tile += lhs @ rhs
-        return rows, cols, tile
     ends = np.cumsum(count)
-    start = 0
-    while start < len(count):
-        done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + _SLICE_PAIRS, "right")))
-        size = count[start:stop]
-        source = np.repeat(np.arange(start, stop), size)
-        offset = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        target = low[source] + offset
-        np.add.at(tile, row_at[source] * len(cols) + col_at[target], left_value[source] * right_value[target])
-        start = stop
-    return rows, cols, tile.reshape(len(rows), len(cols))
-
-
-def _cells(rows: np.ndarray, cols: np.ndarray, pairs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    step = max(1, _SLICE_CELLS // len(cols))
+    for top in range(0, len(rows), step):
+        size = min(step, len(rows) - top)
+        tile = np.zeros(size * len(cols))
+        start, last = np.searchsorted(row_at, [top, top + size])
+        while start < last:
+            done = ends[start - 1] if start else 0
+            stop = min(last, max(start + 1, int(np.searchsorted(ends, done + _SLICE_PAIRS, "right"))))
+            width = count[start:stop]
+            source = np.repeat(np.arange(start, stop), width)
+            target = low[source] + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+            cell = (row_at[source] - top) * len(cols) + col_at[target]
+            np.add.at(tile, cell, left_value[source] * right_value[target])
+            start = stop
+        yield rows[top : top + size], cols, tile.reshape(size, len(cols))
+
+
+def dense_tiles(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The same for ``id, features`` vectors."""
+    left, right = left.sort_values("id"), right.sort_values("id")
+    rows, cols = left["id"].to_numpy(), right["id"].to_numpy()
+    row_vectors, col_vectors = np.stack(left["features"].to_numpy()), np.stack(right["features"].to_numpy())
+    step = max(1, _SLICE_CELLS // len(cols))
+    for top in range(0, len(rows), step):
+        yield rows[top : top + step], cols, row_vectors[top : top + step] @ col_vectors.T
+
+
+def _cells(rows: np.ndarray, cols: np.ndarray, row_id: np.ndarray, col_id: np.ndarray):
     """Tile coordinates of the pairs that lie in the tile."""
-    at_row, at_col = np.searchsorted(rows, pairs["id"]), np.searchsorted(cols, pairs["mid"])
-    inside = (at_row < len(rows)) & (at_col < len(cols))
-    at_row, at_col = at_row[inside], at_col[inside]
-    pairs = pairs[inside]
-    exact = (rows[at_row] == pairs["id"].to_numpy()) & (cols[at_col] == pairs["mid"].to_numpy())
+    at_row = np.minimum(np.searchsorted(rows, row_id), len(rows) - 1)
+    at_col = np.minimum(np.searchsorted(cols, col_id), len(cols) - 1)
+    exact = (rows[at_row] == row_id) & (cols[at_col] == col_id)
     return at_row[exact], at_col[exact]
 
 
@@ -108,18 +110,14 @@ def best_of_tile(
         shown[skip] = -np.inf
     if above is not None:
         shown[~(shown > above)] = -np.inf
+    kept = shown > -np.inf
     if k < len(cols):
-        edge = np.partition(shown, len(cols) - k, axis=1)[:, len(cols) - k]
-        at_row, at_col = np.nonzero((shown >= edge[:, None]) & (shown > -np.inf))
-    else:
-        at_row, at_col = np.nonzero(shown > -np.inf)
-    value = shown[at_row, at_col]
-    order = np.lexsort((cols[at_col], -value, at_row))
-    at_row, at_col, value = at_row[order], at_col[order], value[order]
-    first = np.searchsorted(at_row, at_row, "left")
-    kept = np.arange(len(at_row)) - first < k
-    at_row, at_col = at_row[kept], at_col[kept]
-    return _frame(rows[at_row], cols[at_col], tile[at_row, at_col])
+        edge = np.partition(shown, len(cols) - k, axis=1)[:, len(cols) - k, None]
+        better, level = shown > edge, (shown == edge) & kept
+        room = k - better.sum(axis=1, keepdims=True)
+        kept = better | (level & (np.cumsum(level, axis=1) <= room))
+    at = np.nonzero(kept)
+    return _frame(rows[at[0]], cols[at[1]], tile[at])
 
 
 def _moments(rows: np.ndarray, tile: np.ndarray) -> pd.DataFrame:
@@ -134,24 +132,40 @@ def _moments(rows: np.ndarray, tile: np.ndarray) -> pd.DataFrame:
     )
 
 
-def _report(rows, cols, tile, group: pd.DataFrame, k: int | None, digits: int, above, moments: bool) -> pd.DataFrame:
-    side = group["side"].to_numpy()
-    asked = group[side == _ASK]
-    if len(asked):
-        at = _cells(rows, cols, asked)
-        return _frame(rows[at[0]], cols[at[1]], tile[at])
-    if k is None:
-        at = np.nonzero(tile)
-        return _frame(rows[at[0]], cols[at[1]], tile[at])
-    skipped = group[side == _SKIP]
-    skip = _cells(rows, cols, skipped) if len(skipped) else None
-    best = best_of_tile(rows, cols, tile, k, digits, skip, above)
-    return pd.concat([best, _moments(rows, tile)], ignore_index=True) if moments else best
-
+def _kernel(tiles, k: int | None, digits: int, above: float | None, moments: bool, ask: bool, drop_self: bool):
+    """Function over one block pair: its parts by ``side`` in, the wanted rows out."""
 
-def _run(parts: DataFrame, keys: list[str], kernel, tasks: int) -> DataFrame:
-    spread = parts.repartition(tasks, *keys)
-    return spread.groupBy(*keys).applyInPandas(kernel, _OUT)
+    def report(group: pd.DataFrame) -> pd.DataFrame:
+        side = group["side"].to_numpy()
+        left, right = group[side == _LEFT], group[side == _RIGHT]
+        pairs = group[side == (_ASK if ask else _SKIP)].sort_values("id")
+        pair_row, pair_col = pairs["id"].to_numpy(), pairs["mid"].to_numpy()
+        if not len(left) or not len(right) or (ask and not len(pairs)):
+            return _frame([], [], [])
+        found = []
+        for rows, cols, tile in tiles(left, right):
+            here = slice(*np.searchsorted(pair_row, [rows[0], rows[-1] + 1]))
+            marked = _cells(rows, cols, pair_row[here], pair_col[here])
+            if drop_self:
+                tile[_cells(rows, cols, rows, rows)] = 0.0
+            if ask:
+                found.append(_frame(rows[marked[0]], cols[marked[1]], tile[marked]))
+                continue
+            if k is None:
+                at = np.nonzero(tile if above is None else np.round(tile, digits) > above)
+                found.append(_frame(rows[at[0]], cols[at[1]], tile[at]))
+                continue
+            found.append(best_of_tile(rows, cols, tile, k, digits, marked, above))
+            if moments:
+                found.append(_moments(rows, tile))
+        return pd.concat(found, ignore_index=True)
+
+    return report
+
+
+def _run(parts: DataFrame, kernel, tasks: int, slots: int) -> DataFrame:
+    keys = ["a", "b", "c"]
+    return parts.repartition(max(slots, tasks), *keys).groupBy(*keys).applyInPandas(kernel, _OUT)
 
 
 def _merge(found: DataFrame, k: int, digits: int) -> DataFrame:
@@ -160,6 +174,50 @@ def _merge(found: DataFrame, k: int, digits: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
+def _sizes(frame: DataFrame, key: str):
+    counts = frame.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.count(F.lit(1)).alias("ids"), F.sum("n").alias("entries"), F.max("n").alias("largest")).first()
+
+
+def _part(frame: DataFrame, side: int, own: str, other: str, value: Column) -> DataFrame:
+    return frame.select(
+        F.lit(side).cast("byte").alias("side"), F.col(own).alias("id"), F.col(other).alias("mid"), value.alias("value")
+    )
+
+
+def _pair_part(pairs: DataFrame, side: int, row_blocks: int, col_blocks: int) -> DataFrame:
+    return (
+        pairs.select(F.lit(side).cast("byte").alias("side"), F.col("row_id").alias("id"), F.col("col_id").alias("mid"))
+        .withColumn("a", _block("id", row_blocks))
+        .withColumn("b", _block("mid", col_blocks))
+        .withColumn("c", F.lit(0))
+    )
+
+
+def _sparse_blocks(left: DataFrame, right: DataFrame, sizes, chunks: int, pairs, side: int, kernel) -> DataFrame:
+    slots = task_slots(left.sparkSession)
+    across, down = grid(sizes[0].ids, sizes[1].ids, sizes[0].entries or 0, sizes[1].entries or 0, slots)
+    parts = (
+        _part(left, _LEFT, "row_id", "mid", F.col("value"))
+        .withColumn("a", _block("id", across))
+        .withColumn("c", _block("mid", chunks))
+        .withColumn("b", _every(down))
+    ).unionByName(
+        _part(right, _RIGHT, "col_id", "mid", F.col("value"))
+        .withColumn("b", _block("id", down))
+        .withColumn("c", _block("mid", chunks))
+        .withColumn("a", _every(across))
+    )
+    if pairs is not None:
+        parts = parts.unionByName(_pair_part(pairs, side, across, down).withColumn("value", F.lit(0.0)))
+    return _run(parts, kernel, across * down * chunks, slots)
+
+
+def _heavy(frame: DataFrame, key: str, limit: int) -> DataFrame:
+    counts = frame.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > limit).select(key)
+
+
 def sparse_product(
     left: DataFrame,
     right: DataFrame,
@@ -168,88 +226,64 @@ def sparse_product(
     moments: bool = False,
     ask: DataFrame | None = None,
     digits: int = 9,
-    chunk_entries: int = CHUNK_ENTRIES,
+    drop_self: bool = False,
+    limit: int = BLOCK_ENTRIES,
 ) -> DataFrame:
     """Product of ``left(row_id, mid, value)`` and ``right(mid, col_id, value)``.
 
-    With ``k``: the best ``k`` columns per row as ``row_id, col_id, score, rank``, only scores > ``above``.
-    With ``moments`` also one row per ``row_id`` with null ``col_id`` holding the sum and the sum of squares
-    of its scores. With ``ask(row_id, col_id)``: only the scores of those cells (zero cells are absent).
-    With neither: all non-zero cells.
+    With ``k``: the best ``k`` columns per row as ``row_id, col_id, score, rank``. With ``moments`` also one
+    row per ``row_id`` with null ``col_id`` holding the sum and the sum of squares of its scores. With
+    ``ask(row_id, col_id)``: only the scores of those cells (zero cells are absent). With neither: all
+    non-zero cells. ``above`` keeps only larger scores, ``drop_self`` treats cells with equal ids as zero.
     """
-    sizes_left = left.agg(F.approx_count_distinct("row_id").alias("ids"), F.count(F.lit(1)).alias("entries")).first()
-    sizes_right = right.agg(F.approx_count_distinct("col_id").alias("ids"), F.count(F.lit(1)).alias("entries")).first()
-    slots = task_slots(left.sparkSession)
-    row_blocks, col_blocks = grid(sizes_left.ids, sizes_right.ids, sizes_left.entries, sizes_right.entries, slots)
-    chunks = max(
-        1,
-        math.ceil(sizes_left.entries / row_blocks / chunk_entries),
-        math.ceil(sizes_right.entries / col_blocks / chunk_entries),
-    )
-
-    def part(frame: DataFrame, side: int, own: str, other: str, value: Column) -> DataFrame:
-        return frame.select(
-            F.lit(side).cast("byte").alias("side"), F.col(own).alias("id"), F.col(other).alias("mid"), value.alias("value")
-        )
-
-    parts = (
-        part(left, _LEFT, "row_id", "mid", F.col("value"))
-        .withColumn("a", _block("id", row_blocks))
-        .withColumn("c", _block("mid", chunks))
-        .withColumn("b", _every(col_blocks))
-    ).unionByName(
-        part(right, _RIGHT, "col_id", "mid", F.col("value"))
-        .withColumn("b", _block("id", col_blocks))
-        .withColumn("c", _block("mid", chunks))
-        .withColumn("a", _every(row_blocks))
-    )
-    if ask is not None and chunks == 1:
-        parts = parts.unionByName(
-            part(ask, _ASK, "row_id", "col_id", F.lit(0.0))
-            .withColumn("a", _block("id", row_blocks))
-            .withColumn("b", _block("mid", col_blocks))
-            .withColumn("c", F.lit(0))
+    sizes = _sizes(left, "row_id"), _sizes(right, "col_id")
+    asked = ask is not None
+    kernel = _kernel(sparse_tiles, k, digits, above, moments, asked, drop_self)
+    largest = max(sizes[0].largest or 0, sizes[1].largest or 0)
+    if largest <= limit:
+        out, summed = _sparse_blocks(left, right, sizes, 1, ask, _ASK, kernel), None
+    else:
+        hot_rows, hot_cols = _heavy(left, "row_id", limit), _heavy(right, "col_id", limit)
+        some_left = left.join(hot_rows, "row_id", "left_anti")
+        some_right = right.join(hot_cols, "col_id", "left_anti")
+        out = _sparse_blocks(some_left, some_right, sizes, 1, ask, _ASK, kernel)
+        every_cell = _kernel(sparse_tiles, None, digits, None, False, False, drop_self)
+        chunks = math.ceil(largest / limit)
+        summed = (
+            _sparse_blocks(left.join(hot_rows, "row_id", "left_semi"), right, sizes, chunks, None, _ASK, every_cell)
+            .unionByName(
+                _sparse_blocks(some_left, right.join(hot_cols, "col_id", "left_semi"), sizes, chunks, None, _ASK, every_cell)
+            )
+            .groupBy("row_id", "col_id")
+            .agg(F.sum("score").alias("score"))
         )
-    whole = chunks == 1
-    want = k if whole and ask is None else None
-
-    def kernel(group: pd.DataFrame) -> pd.DataFrame:
-        side = group["side"].to_numpy()
-        left_part, right_part = group[side == _LEFT], group[side == _RIGHT]
-        if not len(left_part) or not len(right_part) or (ask_only and not (side == _ASK).any()):
-            return _frame([], [], [])
-        rows, cols, tile = sparse_tile(left_part, right_part)
-        return _report(rows, cols, tile, group, want, digits, above, moments)
-
-    ask_only = ask is not None and whole
-    out = _run(parts, ["a", "b", "c"], kernel, max(slots, row_blocks * col_blocks * chunks // 4))
-    if not whole:
-        out = out.groupBy("row_id", "col_id").agg(F.sum("score").alias("score"))
-    if ask is not None:
-        found = out if whole else out.join(ask, ["row_id", "col_id"], "left_semi")
-        return found.filter(F.col("score") != 0).select("row_id", "col_id", "score")
-    if k is None:
-        return out.select("row_id", "col_id", "score")
-    return _finish(out, whole, k, above, moments, digits)
+        if asked:
+            summed = summed.join(ask, ["row_id", "col_id"], "left_semi")
+    columns = ["row_id", "col_id", "score"]
+    if asked or k is None:
+        cells = out.select(*columns) if summed is None else out.select(*columns).unionByName(summed)
+        bound = F.col("score") != 0 if above is None else F.round("score", digits) > above
+        return cells.filter(bound)
+    return _finish(out, summed, k, above, moments, digits)
 
 
-def _finish(out: DataFrame, whole: bool, k: int, above: float | None, moments: bool, digits: int) -> DataFrame:
+def _finish(out: DataFrame, summed: DataFrame | None, k: int, above, moments: bool, digits: int) -> DataFrame:
     if moments:
         out = cut_lineage(out)
+        summed = None if summed is None else cut_lineage(summed)
     scored = out.filter(F.col("col_id").isNotNull()).select("row_id", "col_id", "score")
+    if summed is not None:
+        scored = scored.unionByName(summed)
     if above is not None:
         scored = scored.filter(F.round("score", digits) > above)
     best = _merge(scored, k, digits)
     if not moments:
         return best
-    if whole:
-        sums = out.filter(F.col("col_id").isNull()).groupBy("row_id").agg(
-            F.sum("total").alias("total"), F.sum("squares").alias("squares")
-        )
-    else:
-        sums = out.groupBy("row_id").agg(
-            F.sum("score").alias("total"), F.sum(F.col("score") * F.col("score")).alias("squares")
-        )
+    sums = out.filter(F.col("col_id").isNull()).select("row_id", "total", "squares")
+    if summed is not None:
+        squares = (F.col("score") * F.col("score")).alias("squares")
+        sums = sums.unionByName(summed.select("row_id", F.col("score").alias("total"), squares))
+    sums = sums.groupBy("row_id").agg(F.sum("total").alias("total"), F.sum("squares").alias("squares"))
     return best.unionByName(sums, allowMissingColumns=True)
 
 
@@ -259,66 +293,18 @@ def gram(
     above: float | None = None,
     keep_self: bool = False,
     digits: int = 9,
-    block_ids: int = BLOCK_IDS,
-    chunk_entries: int | None = CHUNK_ENTRIES,
+    limit: int = BLOCK_ENTRIES,
 ) -> DataFrame:
     """Products of all pairs of ids over a shared axis, from ``entries(id, mid, value)``.
 
-    With ``k``: the best ``k`` partners per id. Otherwise every non-zero pair above ``above``, both ways
-    round. ``chunk_entries=None`` keeps an id's entries together; use it when an id has few entries.
+    With ``k``: the best ``k`` partners per id, only positive ones unless ``above`` says otherwise.
+    Without: every non-zero pair, both ways round.
     """
-    sizes = entries.agg(F.approx_count_distinct("id").alias("ids"), F.count(F.lit(1)).alias("entries")).first()
-    slots = task_slots(entries.sparkSession)
-    blocks = max(1, math.ceil(sizes.ids / block_ids))
-    chunks = 1 if chunk_entries is None else max(1, math.ceil(2 * sizes.entries / blocks / chunk_entries))
-    if blocks * (blocks + 1) // 2 * chunks < slots and sizes.ids > slots:
-        blocks = math.ceil(math.sqrt(2 * slots / chunks))
-    whole = chunks == 1
-    parts = (
-        entries.select("id", "mid", "value")
-        .withColumn("own", _block("id", blocks))
-        .withColumn("c", _block("mid", chunks))
-        .withColumn("q", _every(blocks))
-        .withColumn("a", F.least("own", "q"))
-        .withColumn("b", F.greatest("own", "q"))
-        .drop("q")
-    )
-    limit = k if whole else None
-    floor = above if whole else None
-
-    def one_way(rows, cols, tile) -> pd.DataFrame:
-        skip = None
-        if not keep_self:
-            same = np.searchsorted(cols, rows)
-            hit = (same < len(cols)) & (cols[np.minimum(same, len(cols) - 1)] == rows)
-            skip = (np.nonzero(hit)[0], same[hit])
-        if limit is not None:
-            return best_of_tile(rows, cols, tile, limit, digits, skip, floor if floor is not None else 0.0)
-        if skip is not None:
-            tile = tile.copy()
-            tile[skip] = 0.0
-        at = np.nonzero(tile if floor is None else np.round(tile, digits) > floor)
-        return _frame(rows[at[0]], cols[at[1]], tile[at])
-
-    def kernel(group: pd.DataFrame) -> pd.DataFrame:
-        first = group["own"].to_numpy() == group["a"].to_numpy()
-        if group["a"].iloc[0] == group["b"].iloc[0]:
-            return one_way(*sparse_tile(group, group))
-        left, right = group[first], group[~first]
-        if not len(left) or not len(right):
-            return _frame([], [], [])
-        rows, cols, tile = sparse_tile(left, right)
-        return pd.concat([one_way(rows, cols, tile), one_way(cols, rows, tile.T)], ignore_index=True)
-
-    out = _run(parts, ["a", "b", "c"], kernel, max(slots, blocks * (blocks + 1) // 2 * chunks // 4))
-    if not whole:
-        out = out.groupBy("row_id", "col_id").agg(F.sum("score").alias("score"))
-    if k is None:
-        if above is not None and not whole:
-            out = out.filter(F.round("score", digits) > above)
-        return out.select("row_id", "col_id", "score")
-    floor = above if above is not None else 0.0
-    return _merge(out.select("row_id", "col_id", "score").filter(F.round("score", digits) > floor), k, digits)
+    if k is not None and above is None:
+        above = 0.0
+    left = entries.select(F.col("id").alias("row_id"), "mid", "value")
+    right = entries.select("mid", F.col("id").alias("col_id"), "value")
+    return sparse_product(left, right, k=k, above=above, digits=digits, drop_self=not keep_self, limit=limit)
 
 
 def dense_product(
@@ -336,48 +322,31 @@ def dense_product(
     ``skip(row_id, col_id)`` pairs never show up; the other options are those of :func:`sparse_product`.
     """
     slots = task_slots(rows.sparkSession)
+    width = cols.select(F.size("features").alias("n")).first()
+    width = width.n if width else 1
     n_rows, n_cols = rows.count(), cols.count()
-    row_blocks, col_blocks = grid(n_rows, n_cols, n_rows, n_cols, slots)
-    nothing = F.lit(None).cast("array<double>")
+    across, down = grid(n_rows, n_cols, n_rows * width, n_cols * width, slots)
 
-    def part(frame: DataFrame, side: int, own: str, features: Column, other: Column) -> DataFrame:
+    def part(frame: DataFrame, side: int, own: str) -> DataFrame:
         return frame.select(
-            F.lit(side).cast("byte").alias("side"), F.col(own).alias("id"), other.alias("mid"), features.alias("features")
-        )
-
-    def both(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("a", _block("id", row_blocks)).withColumn("b", _block("mid", col_blocks))
+            F.lit(side).cast("byte").alias("side"),
+            F.col(own).alias("id"),
+            F.lit(-1).cast("long").alias("mid"),
+            F.col("features").cast("array<double>").alias("features"),
+        ).withColumn("c", F.lit(0))
 
-    missing = F.lit(-1).cast("long")
-    vector = F.col("features").cast("array<double>")
     parts = (
-        part(rows, _LEFT, "row_id", vector, missing)
-        .withColumn("a", _block("id", row_blocks))
-        .withColumn("b", _every(col_blocks))
-    ).unionByName(
-        part(cols, _RIGHT, "col_id", vector, missing)
-        .withColumn("b", _block("id", col_blocks))
-        .withColumn("a", _every(row_blocks)),
-    )
-    if skip is not None:
-        parts = parts.unionByName(both(part(skip, _SKIP, "row_id", nothing, F.col("col_id"))))
-    if ask is not None:
-        parts = parts.unionByName(both(part(ask, _ASK, "row_id", nothing, F.col("col_id"))))
-    ask_only = ask is not None
-
-    def kernel(group: pd.DataFrame) -> pd.DataFrame:
-        side = group["side"].to_numpy()
-        left, right = group[side == _LEFT].sort_values("id"), group[side == _RIGHT].sort_values("id")
-        if not len(left) or not len(right) or (ask_only and not (side == _ASK).any()):
-            return _frame([], [], [])
-        tile = np.stack(left["features"].to_numpy()) @ np.stack(right["features"].to_numpy()).T
-        want = None if ask_only else k
-        return _report(left["id"].to_numpy(), right["id"].to_numpy(), tile, group, want, digits, above, moments)
-
-    out = _run(parts, ["a", "b"], kernel, max(slots, row_blocks * col_blocks // 4))
-    if ask is not None or k is None:
+        part(rows, _LEFT, "row_id").withColumn("a", _block("id", across)).withColumn("b", _every(down))
+    ).unionByName(part(cols, _RIGHT, "col_id").withColumn("b", _block("id", down)).withColumn("a", _every(across)))
+    nothing = F.lit(None).cast("array<double>")
+    for pairs, side in ((skip, _SKIP), (ask, _ASK)):
+        if pairs is not None:
+            parts = parts.unionByName(_pair_part(pairs, side, across, down).withColumn("features", nothing))
+    asked = ask is not None
+    out = _run(parts, _kernel(dense_tiles, k, digits, above, moments, asked, False), across * down, slots)
+    if asked or k is None:
         return out.select("row_id", "col_id", "score")
-    return _finish(out, True, k, above, moments, digits)
+    return _finish(out, None, k, above, moments, digits)
 
 
 def split_moments(found: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -43,7 +43,7 @@ def numbered_vectors(texts: DataFrame, low: int = 3, high: int = 5, min_df: int
 
 def similar_pairs(vectors: DataFrame, above: float = 1 - MERGE_DISTANCE) -> DataFrame:
     """Pairs of ids with cosine above a bound: ``id_1 < id_2, similarity``."""
-    found = gram(vectors, above=above, chunk_entries=None)
+    found = gram(vectors, above=above)
     return found.filter(F.col("row_id") < F.col("col_id")).select(
         F.col("row_id").alias("id_1"), F.col("col_id").alias("id_2"), F.col("score").alias("similarity")
     )
@@ -66,7 +66,7 @@ def average_linkage(vectors: DataFrame, distance: float = MERGE_DISTANCE) -> Dat
             F.col("cluster").alias("id"), "mid", (F.col("value") / F.col("size")).alias("value")
         )
         closest = cut_lineage(
-            gram(mean, k=1, above=1 - distance, chunk_entries=None).select(
+            gram(mean, k=1, above=1 - distance).select(
                 F.col("row_id").alias("cluster"), F.col("col_id").alias("partner")
             )
         )
@@ -120,7 +120,7 @@ def attach_by_embedding(singles: DataFrame, canonicals: DataFrame, similarity: f
 
     def ready(frame: DataFrame, key: str) -> DataFrame:
         usable = frame.filter((tx.strip_space(F.col("subject")) != "") & F.col("embedding").isNotNull())
-        return usable.select(F.col("id").alias(key), vec.unit(F.col("embedding")).alias("features"))
+        return usable.select(F.col("id").alias(key), vec.unit_exact(F.col("embedding")).alias("features"))
 
     # similarities are compared at nine digits, so "at least" means more than half a digit below
     best = dense_product(ready(singles, "row_id"), ready(canonicals, "col_id"), k=1, above=similarity - 5e-10)
