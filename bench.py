@@ -27,7 +27,6 @@ HEADLINE = (
     "embedding_scores_topk",
     "item_item_cf_topk",
     "user_user_cf_topk",
-    "hybrid_rerank_topk",
     "subject_canonical_map",
     "cmf_side_half_step",
     "cmf_predict_topk",
