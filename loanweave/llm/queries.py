@@ -80,6 +80,46 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return entries.select(*measured, q.fails(q.BASE).alias("base_failed"), (~q.fails(q.CURRENT)).alias("kept"))
 
 
+@query("op4_decontamination")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    from . import decontamination
+
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    from . import packing
+
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query(
+    "op6_minhash_near_dedup",
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    g AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                 ELSE [array_to_string(ws[p:p + 4], ' ') FOR p IN range(1, len(ws) - 3)] END) AS gs FROM w),
+    e AS (SELECT doc_id, len(gs) AS n, unnest(gs) AS s FROM g),
+    c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common, any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM e a JOIN e b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+    l AS (SELECT a, b FROM c WHERE 100 * common >= 85 * (na + nb - common)),
+    both_ways AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+    reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+    low AS (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a)
+    SELECT doc_id, len(gs)::BIGINT AS n_shingles, least(doc_id, coalesce(least_id, doc_id)) AS component_id,
+           doc_id = least(doc_id, coalesce(least_id, doc_id)) AS kept
+    FROM g LEFT JOIN low USING (doc_id)
+    """,
+)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    from . import near_duplicates
+
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op7_sharding")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     from . import sharding
