@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,35 +161,58 @@ def original_places(text: str, start: int, end: int) -> tuple[int, int]:
 _BUILT: dict[str, Items] = {}
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, item_id, distance, start and end (characters of the text as it is) of each item found in each document."""
-    spark = documents.sparkSession
-    items = benchmark.filter(F.length("text") > 0).select("item_id", "text").distinct()
+def _built(key: str, shared, rate: float) -> Items:
+    """The automaton of a broadcast block, built once per Python worker."""
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = Items(*shared.value, rate)
+    return _BUILT[key]
+
+
+def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[tuple[str, object]]:
+    """(key, broadcast ids and normalized texts) of each block: about ``block_chars`` characters, whatever the benchmark's size."""
+    spark = benchmark.sparkSession
+    items = benchmark.filter(F.length("text") > 0).select(F.col("item_id").cast("string"), "text").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_chars))
-    doc_kind, item_kind = (f.schema[c].dataType.simpleString() for f, c in ((documents, "doc_id"), (benchmark, "item_id")))
-    schema = f"doc_id {doc_kind}, item_id {item_kind}, distance int, start int, end int"
-    texts = documents.select("doc_id", "text")
-    found = None
-    for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+    count = max(1, -(-total // block_chars))
+    for block in range(count):
+        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block).collect()
         pairs = sorted(((r["item_id"], normalized(r["text"])) for r in own), key=repr)
         pairs = [p for p in pairs if p[1]]
-        # about block_chars characters of items, whatever the benchmark's size
-        shared = spark.sparkContext.broadcast(([p[0] for p in pairs], [p[1] for p in pairs]))
-
-        def search(batches: Iterator[pd.DataFrame], shared=shared, key=uuid.uuid4().hex) -> Iterator[pd.DataFrame]:
-            if key not in _BUILT:
-                _BUILT.clear()
-                _BUILT[key] = Items(*shared.value, rate)
-            block_items = _BUILT[key]
+        yield uuid.uuid4().hex, spark.sparkContext.broadcast(([p[0] for p in pairs], [p[1] for p in pairs]))
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, item_id, distance, start and end (characters of the text as it is) of each item found in each document."""
+    texts = documents.select(F.col("doc_id").cast("string"), "text")
+    found = None
+    for key, shared in _blocks(benchmark, block_chars):
+
+        def search(batches: Iterator[pd.DataFrame], key=key, shared=shared) -> Iterator[pd.DataFrame]:
+            items = _built(key, shared, rate)
             for batch in batches:
                 rows = []
-                for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
-                    for k, distance, start, end in block_items.find(normalized(text)) if text else ():
-                        rows.append((doc_id, block_items.ids[k], distance, *original_places(text, start, end)))
+                for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                    for k, distance, start, end in items.find(normalized(text)) if text else ():
+                        rows.append((doc_id, items.ids[k], distance, *original_places(text, start, end)))
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "distance", "start", "end"])
 
-        part = texts.mapInPandas(search, schema)
+        part = texts.mapInPandas(search, "doc_id string, item_id string, distance int, start int, end int")
         found = part if found is None else found.unionByName(part)
-    return found
+    return found.withColumns(
+        {"doc_id": F.col("doc_id").cast(documents.schema["doc_id"].dataType), "item_id": F.col("item_id").cast(benchmark.schema["item_id"].dataType)}
+    )
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The documents in which no item is found, all columns as they are; no shuffle."""
+    for key, shared in _blocks(benchmark, block_chars):
+
+        def keep(batches: Iterator[pa.RecordBatch], key=key, shared=shared) -> Iterator[pa.RecordBatch]:
+            items = _built(key, shared, rate)
+            for batch in batches:
+                texts = batch.column("text").to_pylist()
+                yield batch.filter(pa.array([not (text and items.find(normalized(text))) for text in texts], pa.bool_()))
+
+        documents = documents.mapInArrow(keep, documents.schema)
+    return documents

@@ -203,6 +203,7 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
             found = pd.DataFrame(told, columns=["lang_pred", "score", "ambiguous"])
             yield pd.concat([batch[["doc_id"]].reset_index(drop=True), found], axis=1)
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    chosen = documents.select("doc_id", "text")
-    return chosen.mapInPandas(predict, f"doc_id {kind}, lang_pred string, score double, ambiguous boolean")
+    # ids travel as strings, so that nulls leave whole numbers whole
+    chosen = documents.select(F.col("doc_id").cast("string"), "text")
+    found = chosen.mapInPandas(predict, "doc_id string, lang_pred string, score double, ambiguous boolean")
+    return found.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))

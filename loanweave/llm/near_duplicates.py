@@ -71,8 +71,6 @@ def least_overlap(n: int, per_cent: int = PER_CENT) -> int:
 
 def sketched(documents: DataFrame) -> DataFrame:
     """doc_id, row_key, n_shingles, set_key (null for an empty set) and sketch."""
-    kind = documents.schema["doc_id"].dataType.simpleString()
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(t) for t in batch["text"]]
@@ -86,8 +84,9 @@ def sketched(documents: DataFrame) -> DataFrame:
                 }
             )
 
-    rows = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
-    return rows.mapInPandas(run, f"doc_id {kind}, row_key long, n_shingles long, set_key binary, sketch array<long>")
+    rows = documents.select(F.col("doc_id").cast("string"), F.xxhash64("doc_id", "text").alias("row_key"), "text")
+    found = rows.mapInPandas(run, "doc_id string, row_key long, n_shingles long, set_key binary, sketch array<long>")
+    return found.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))
 
 
 def rarity(sketches: DataFrame) -> np.ndarray:
@@ -239,7 +238,10 @@ def cross_pairs(lists: DataFrame, classes: DataFrame, labels: DataFrame, per_cen
 
 
 def near_duplicates(documents: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable over links, itself included) and kept."""
+    """doc_id, n_shingles, component_id (smallest doc_id reachable over links, itself included), kept and row_key.
+
+    ``row_key`` is a hash of doc_id and text, by which rows of ``documents`` can be told apart where ids repeat.
+    """
     sketches = written(sketched(documents), "sketches")
     grouped = (
         sketches.filter("n_shingles > 0").groupBy("set_key")
@@ -267,8 +269,15 @@ def near_duplicates(documents: DataFrame, per_cent: int = PER_CENT) -> DataFrame
     named = classes.join(labels, "id", "left").select("set_key", "copies", "first_doc", F.coalesce("label", "id").alias("label"))
     lowest = named.groupBy("label").agg(F.min("first_doc").alias("component_id"))
     members = written(named.join(lowest, "label").select("set_key", "copies", "component_id"), "members")
-    filled = split_by_frequency(sketches.filter("n_shingles > 0").drop("sketch", "row_key"), members, ["set_key"], "copies")
+    filled = split_by_frequency(sketches.filter("n_shingles > 0").drop("sketch"), members, ["set_key"], "copies")
     empty = sketches.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
+    columns = ["doc_id", "n_shingles", "component_id", "row_key"]
     result = filled.select(*columns).unionByName(empty.select(*columns))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(documents: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
+    """The kept document of each group, all columns as they are; rows equal in doc_id and text are one document."""
+    kept = near_duplicates(documents, per_cent).filter("kept").select(F.col("row_key").alias("_kept_key")).distinct()
+    marked = documents.withColumn("_kept_key", F.xxhash64("doc_id", "text"))
+    return marked.join(kept, "_kept_key", "left_semi").dropDuplicates(["_kept_key"]).drop("_kept_key")

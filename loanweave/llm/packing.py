@@ -29,7 +29,7 @@ BINS_PER_TASK = 20_000
 PIECES_PER_ROUND = 100_000
 CACHED_CHUNKS = 250_000
 
-ITEM = "struct<doc_id: {id}, piece: int, start: long, length: long, ids_crc32: long, offset: long>"
+ITEM = "struct<doc_id: string, piece: int, start: long, length: long, ids_crc32: long, offset: long>"
 
 
 @dataclass(frozen=True)
@@ -155,17 +155,16 @@ def _merged(bins: list[list[dict]], fills: list[int]) -> pd.DataFrame:
 def pack(documents: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every document."""
     vocabulary = vocabulary or Vocabulary.public()
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    schema = f"fill int, items array<{ITEM.format(id=kind)}>"
+    schema = f"fill int, items array<{ITEM}>"
     end = END_ID.to_bytes(4, "little")
 
     def level_0(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(vocabulary).ids
         full, pieces, lengths = [], [], []
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 for piece, start, length, crc in cut(encode(text or "") + end):
-                    item = {"doc_id": None if pd.isna(doc_id) else doc_id, "piece": piece, "start": start, "length": length, "ids_crc32": crc, "offset": 0}
+                    item = {"doc_id": doc_id, "piece": piece, "start": start, "length": length, "ids_crc32": crc, "offset": 0}
                     if length == CAPACITY:
                         full.append((length, [item]))
                     else:
@@ -188,7 +187,7 @@ def pack(documents: DataFrame, vocabulary: Vocabulary | None = None) -> DataFram
         if bins:
             yield _merged(bins, fills)
 
-    packed = written(documents.select("doc_id", "text").mapInPandas(level_0, schema), "packed-0")
+    packed = written(documents.select(F.col("doc_id").cast("string"), "text").mapInPandas(level_0, schema), "packed-0")
     done = []
     before = None
     while True:
@@ -214,5 +213,5 @@ def pack(documents: DataFrame, vocabulary: Vocabulary | None = None) -> DataFram
     # the ids stem from files already written, so a repeated task gives the same ones
     sequences = every.withColumn("sequence_id", F.monotonically_increasing_id())
     return sequences.select("sequence_id", F.explode("items").alias("i")).select(
-        "i.doc_id", "i.piece", "i.start", "i.length", "i.ids_crc32", "sequence_id", "i.offset"
+        F.col("i.doc_id").cast(documents.schema["doc_id"].dataType).alias("doc_id"), "i.piece", "i.start", "i.length", "i.ids_crc32", "sequence_id", "i.offset"
     )

@@ -48,9 +48,14 @@ POLICIES = (BASE, Policy("v1", tuple(RULES)[:6]), Policy("v2", tuple(RULES)))
 CURRENT = POLICIES[-1]
 
 
-def measure(documents: DataFrame) -> DataFrame:
-    """doc_id and the measurements. ``_words`` and the like are steps of their own so that each is computed once."""
-    words = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).withColumn(
+def measure(documents: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id and the measurements, with ``carry`` also the whole row as the struct ``_row``.
+
+    ``_words`` and the like are steps of their own so that each is computed once.
+    """
+    own = ["doc_id", *([F.struct("*").alias("_row")] if carry else [])]
+    kept = ["doc_id", *(["_row"] if carry else [])]
+    words = documents.select(*own, F.coalesce("text", F.lit("")).alias("_text")).withColumn(
         "_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0))
     )
     lines = F.filter(F.split("_text", "\n", -1), lambda line: F.rlike(line, F.lit(WORD)))
@@ -67,7 +72,7 @@ def measure(documents: DataFrame) -> DataFrame:
     # most texts repeat no window: then nothing needs sorting
     ordered = F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.sort_array(numbered))
     counted = split.select(
-        "doc_id",
+        *kept,
         n.cast("long").alias("n_words"),
         F.aggregate("_words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
         _count("_text", SYMBOLS).alias("n_symbols"),
@@ -94,13 +99,13 @@ def _covered(ordered: str) -> Column:
     return F.when(column.isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(places))).cast("long")
 
 
-def ledger(documents: DataFrame) -> DataFrame:
-    """doc_id, the measurements and ``failed``, whose bit k is set if rule k fails."""
+def ledger(documents: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, the measurements (with ``carry`` the row) and ``failed``, whose bit k is set if rule k fails."""
     bits = [F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)) for k, rule in enumerate(RULES.values())]
     failed = bits[0]
     for bit in bits[1:]:
         failed = failed.bitwiseOR(bit)
-    return measure(documents).withColumn("failed", failed.cast("long"))
+    return measure(documents, carry).withColumn("failed", failed.cast("long"))
 
 
 def fails(policy: Policy) -> Column:
@@ -122,3 +127,8 @@ def ablations(entries: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> Da
     return each.groupBy("version", "rule").agg(
         of(F.col("failed").bitwiseAND(F.col("bit")) != 0).alias("n_failed"), of(masked == F.col("bit")).alias("n_only")
     )
+
+
+def passing(documents: DataFrame, policy: Policy = CURRENT) -> DataFrame:
+    """The documents that ``policy`` keeps, all columns as they are."""
+    return ledger(documents, carry=True).filter(~fails(policy)).select("_row.*")

@@ -80,6 +80,14 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return entries.select(*measured, q.fails(q.BASE).alias("base_failed"), (~q.fails(q.CURRENT)).alias("kept"))
 
 
+@query("op3_html_extraction")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    from . import html_extraction
+
+    found = html_extraction.extract(table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op4_decontamination")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     from . import decontamination
@@ -117,7 +125,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     from . import near_duplicates
 
-    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+    return near_duplicates.near_duplicates(table(spark, folder, "documents")).drop("row_key")
 
 
 @query("op7_sharding")
@@ -135,6 +143,14 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_repeated_spans")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    from . import repeated_spans
+
+    found = repeated_spans.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op9_secret_scans")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     from . import secret_scans as s
