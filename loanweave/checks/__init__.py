@@ -30,4 +30,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load() -> None:
-    from . import cleaning, encoding, models, neighbours, reports, serving  # noqa: F401
+    from . import cleaning, encoding, models, neighbours, reports, roundtrips, serving  # noqa: F401

@@ -305,11 +305,13 @@ def attach_singletons(spark, folder):
     "attach_by_embedding",
     statement(
         "emb emb_exact",
-        """SELECT s.i AS id, arg_max(c.i, round(list_dot_product(s.e, c.e), 9) * 1e6 - c.i * 1e-9) AS parent,
-                  round(max(list_dot_product(s.e, c.e)), 6) AS similarity
-           FROM emb_exact s JOIN embeddings sl ON sl.vec_id = s.i AND sl.label < 5, emb_exact c
-           JOIN embeddings cl ON cl.vec_id = c.i AND cl.label >= 5
-           WHERE list_dot_product(s.e, c.e) >= 0.2 GROUP BY s.i""",
+        """SELECT singles.i AS id, parent, similarity
+           FROM (SELECT i FROM emb_exact JOIN embeddings ON vec_id = i AND label < 5) singles LEFT JOIN (
+               SELECT s.i, arg_max(c.i, round(list_dot_product(s.e, c.e), 9) * 1e6 - c.i * 1e-9) AS parent,
+                      round(max(list_dot_product(s.e, c.e)), 6) AS similarity
+               FROM emb_exact s JOIN embeddings sl ON sl.vec_id = s.i AND sl.label < 5, emb_exact c
+               JOIN embeddings cl ON cl.vec_id = c.i AND cl.label >= 5
+               WHERE list_dot_product(s.e, c.e) >= 0.2 GROUP BY s.i) found USING (i)""",
     ),
 )
 def attach_by_embedding(spark, folder):
@@ -320,7 +322,7 @@ def attach_by_embedding(spark, folder):
         "label",
     )
     found = sb.attach_by_embedding(vectors.filter("label < 5"), vectors.filter("label >= 5"), 0.2)
-    return found.filter("parent IS NOT NULL").select(
+    return found.select(
         F.col("subject").cast("long").alias("id"),
         F.col("parent").cast("long").alias("parent"),
         F.round("similarity", 6).alias("similarity"),

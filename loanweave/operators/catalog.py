@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from .indexing import number_sorted
 
 
 def one_row(*singles: DataFrame) -> DataFrame:
@@ -301,11 +302,15 @@ def page_summary(listing: DataFrame, page: int, per_page: int) -> DataFrame:
 
 
 def page_of(ordered: DataFrame, page: int, per_page: int) -> DataFrame:
-    """One page of an ordered listing; out-of-range pages give the nearest one."""
-    total = ordered.count()
+    """One page of an ordered listing; out-of-range pages give the nearest one.
+
+    Rows are numbered in place after the distributed sort, so a late page does not send all earlier rows to one task.
+    """
+    numbered = number_sorted(ordered, "_place")
+    total = numbered.count()
     last = max(1, -(-total // per_page)) - 1
     start = min(max(page, 0), last) * per_page
-    return ordered.offset(start).limit(per_page)
+    return numbered.filter(F.col("_place").between(start, start + per_page - 1)).orderBy("_place").drop("_place")
 
 
 def page_after(listing: DataFrame, by: str, value, item: int, per_page: int) -> DataFrame:

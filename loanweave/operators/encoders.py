@@ -50,9 +50,11 @@ def clean_subjects(cleaned: DataFrame, min_count: int = 6) -> tuple[DataFrame, D
     return keep_subjects(cleaned, valid, "subjects_clean"), valid
 
 
-def subject_vocabulary(cleaned: DataFrame, min_freq: int = 5, max_features: int = 5000) -> DataFrame:
-    """Most frequent tags, at most ``max_features``, numbered alphabetically: ``subject, subject_idx, n``."""
-    kept = frequent_subjects(cleaned, min_freq).orderBy(F.desc("n"), "subject").limit(max_features)
+def subject_vocabulary(cleaned: DataFrame, min_freq: int = 5, max_features: int | None = None) -> DataFrame:
+    """Frequent tags numbered alphabetically: ``subject, subject_idx, n``; only the first ``max_features`` if that is given."""
+    kept = frequent_subjects(cleaned, min_freq)
+    if max_features is not None:
+        kept = kept.orderBy(F.desc("n"), "subject").limit(max_features)
     return contiguous_index(kept, ["subject"], "subject_idx").select("subject", "subject_idx", "n")
 
 

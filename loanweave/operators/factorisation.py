@@ -28,11 +28,10 @@ _MERGE_GROUPS = 256
 
 @dataclass(frozen=True)
 class CMFConfig:
-    """Hyperparameters; ``learning_rate`` only keeps old settings loadable, the solver has no step size."""
+    """Hyperparameters (fixed values: the published defaults)."""
 
     factors: int = 128
     iterations: int = 30
-    learning_rate: float = 0.01
     regularization: float = 0.05
     lambda_author: float = 0.3
     lambda_publisher: float = 0.2

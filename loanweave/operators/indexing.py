@@ -16,14 +16,19 @@ def contiguous_index(rows: DataFrame, order: list, name: str = "idx") -> DataFra
     The sorted rows carry partition and row number; the prefix sums of partition sizes make them
     contiguous. The sort is written once, so both readers see the same partitions.
     """
-    marked = cut_lineage(rows.orderBy(*order).withColumn("_mark", F.monotonically_increasing_id()))
+    return number_sorted(rows.orderBy(*order), name)
+
+
+def number_sorted(ordered: DataFrame, name: str) -> DataFrame:
+    """Number the rows of a sorted frame 0..n-1 in its order."""
+    marked = cut_lineage(ordered.withColumn("_mark", F.monotonically_increasing_id()))
     marked = marked.withColumn("_part", F.shiftright("_mark", _ROW_BITS))
     sizes = marked.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     # one row per sorted partition, so one task and a broadcast are enough whatever the data size
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     row_number = F.col("_mark").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return marked.join(F.broadcast(offsets), "_part").select(*rows.columns, (F.col("_offset") + row_number).alias(name))
+    return marked.join(F.broadcast(offsets), "_part").select(*ordered.columns, (F.col("_offset") + row_number).alias(name))
 
 
 def item_index(items: DataFrame) -> DataFrame:
