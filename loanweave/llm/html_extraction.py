@@ -191,11 +191,14 @@ def extract(pages: DataFrame) -> DataFrame:
 
     url = F.coalesce("url", F.lit(""))
     rows = pages.select(
-        F.col("page_id").cast("string"), "url", host_of(url).alias("host"), path_of(url).alias("path"), F.xxhash64("page_id", "url", "html").alias("key"), "html"
+        F.col("page_id").cast("string"), "url", host_of(url).alias("host"), path_of(url).alias("path"), "html"
     )
-    schema = "page_id string, url string, host string, path string, key long, lines array<string>, zones array<int>, hashes array<long>"
-    parsed = written(rows.mapInPandas(parse, schema), "blocks")
-    ranked = written(contiguous_index(parsed.select("host", "path", "key", "zones", "hashes"), ["host", "path", "key"], "place"), "ranked")
+    schema = "page_id string, url string, host string, path string, lines array<string>, zones array<int>, hashes array<long>"
+    found = rows.mapInPandas(parse, schema).withColumn("key", F.xxhash64("host", "path", "zones", "hashes"))
+    parsed = written(found, "blocks")
+    # equal pages at one address are one page here, so that they are not each other's neighbours
+    once = written(parsed.select("host", "path", "key", "zones", "hashes").dropDuplicates(["key"]), "addresses")
+    ranked = written(contiguous_index(once, ["host", "path", "key"], "place"), "ranked")
     # neighbours in the order of URLs meet by place: unique keys, so a host with very many pages is no hot key
     side = lambda step, tag: ranked.select(
         (F.col("place") + step).alias("place"), *(F.col(c).alias(f"{c}_{tag}") for c in ("host", "path", "hashes"))
@@ -207,12 +210,13 @@ def extract(pages: DataFrame) -> DataFrame:
             flags = []
             for r in batch.itertuples(index=False):
                 near = [(h, p) for host, p, h in ((r.host_before, r.path_before, r.hashes_before), (r.host_after, r.path_after, r.hashes_after)) if host == r.host]
-                # the longer agreement, or the earlier page
-                partner = max(near, key=lambda n: _agreement(r.path, n[1]))[0].tolist() if near else None
+                # one that differs, then the longer agreement, then the earlier page
+                best = max(near, key=lambda n: (n[0].tolist() != r.hashes.tolist(), _agreement(r.path, n[1])), default=None)
+                partner = best[0].tolist() if best else None
                 flags.append(keep_flags(r.hashes.tolist(), r.zones.tolist(), partner))
             yield pd.DataFrame({"key": batch["key"], "keep": flags})
 
-    kept = paired.mapInPandas(judge, "key long, keep array<boolean>").groupBy("key").agg(F.max("keep").alias("keep"))
+    kept = paired.mapInPandas(judge, "key long, keep array<boolean>")
     full = parsed.select("page_id", "url", "key", "lines").join(kept, "key")
     text = F.array_join(F.filter("lines", lambda line, i: F.get(F.col("keep"), i)), "\n")
     return full.select(F.col("page_id").cast(pages.schema["page_id"].dataType), "url", text.alias("text"))

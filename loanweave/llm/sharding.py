@@ -47,17 +47,20 @@ def plan(sizes: dict[int, tuple[int, int]], shards: int, n_slots: int = N_SLOTS)
 
 
 def rebalance(owner: list[int], sizes: dict[int, tuple[int, int]], shards: int) -> list[int]:
-    """Edit a map for new sizes or more shards: slots leave the fullest shard while that evens out the two ends."""
+    """Edit a map for new sizes or more shards: slots go to the emptiest shard from the fullest that has one small enough."""
     edited, load = list(owner), [0] * shards
     slots: list[list[int]] = [[] for _ in range(shards)]
     for slot, shard in enumerate(edited):
         load[shard] += sizes.get(slot, (0, 0))[0]
         slots[shard].append(slot)
     while True:
-        full, low = max(range(shards), key=lambda s: (load[s], -s)), min(range(shards), key=lambda s: (load[s], s))
-        gap = load[full] - load[low]
-        fitting = [s for s in slots[full] if 0 < sizes.get(s, (0, 0))[0] < gap]
-        if not fitting:
+        low = min(range(shards), key=lambda s: (load[s], s))
+        for full in sorted(range(shards), key=lambda s: (-load[s], s)):
+            gap = load[full] - load[low]
+            fitting = [s for s in slots[full] if 0 < sizes.get(s, (0, 0))[0] < gap]
+            if fitting:
+                break
+        else:
             return edited
         # the slot nearest to half the gap; every move lowers the sum of squared loads, so this ends
         moved = min(fitting, key=lambda s: (abs(2 * sizes[s][0] - gap), s))
