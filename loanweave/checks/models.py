@@ -302,6 +302,53 @@ def _split_model(spark, folder):
     return labelled, catalogue, ft.all_users(labelled)
 
 
+def _solved(a11, a12, a22):
+    """Cramer's rule with the result stored as a single, as the fit stores it."""
+    det = f"({a11} * {a22} - {a12} * {a12})"
+    return (f"CAST(CAST(({a22} * b1 - {a12} * b2) / {det} AS FLOAT) AS DOUBLE) AS x, "
+            f"CAST(CAST(({a11} * b2 - {a12} * b1) / {det} AS FLOAT) AS DOUBLE) AS y")
+
+
+def _fit_parts(alpha: int, ridge: float) -> dict[str, str]:
+    """One iteration of the fit in SQL, two factors: all sides from ``uf``, then all users from those sides."""
+    return {
+        **_MODEL,
+        "g1": "SELECT sum(x * x) AS gxx, sum(x * y) AS gxy, sum(y * y) AS gyy FROM uf",
+        "sums1": f"""SELECT side, feature, sum({alpha} * r * x * x) AS sxx, sum({alpha} * r * x * y) AS sxy,
+                            sum({alpha} * r * y * y) AS syy, sum((1 + {alpha} * r) * x) AS b1, sum((1 + {alpha} * r) * y) AS b2
+                     FROM entries JOIN uf USING (u) GROUP BY side, feature""",
+        "sf1": f"""SELECT side, feature, {_solved('a11', 'a12', 'a22')} FROM (
+                       SELECT side, feature, gxx + sxx + {ridge} * w AS a11, gxy + sxy AS a12, gyy + syy + {ridge} * w AS a22, b1, b2
+                       FROM sums1 JOIN lam USING (side), g1)""",
+        "g2": "SELECT side, sum(x * x) AS gxx, sum(x * y) AS gxy, sum(y * y) AS gyy FROM sf1 GROUP BY side",
+        "sums2": f"""SELECT side, u, sum({alpha} * r * x * x) AS sxx, sum({alpha} * r * x * y) AS sxy,
+                            sum({alpha} * r * y * y) AS syy, sum((1 + {alpha} * r) * x) AS c1, sum((1 + {alpha} * r) * y) AS c2
+                     FROM entries JOIN sf1 USING (side, feature) GROUP BY side, u""",
+        "uf1": f"""SELECT u, {_solved('a11', 'a12', 'a22')} FROM (
+                       SELECT u, {ridge} + sum(w * (gxx + sxx)) AS a11, sum(w * (gxy + sxy)) AS a12,
+                              {ridge} + sum(w * (gyy + syy)) AS a22, sum(w * c1) AS b1, sum(w * c2) AS b2
+                       FROM sums2 JOIN lam USING (side) JOIN g2 USING (side) GROUP BY u)""",
+    }
+
+
+@query(
+    "cmf_fit_factors",
+    statement(
+        _NAMES + " g1 sums1 sf1 g2 sums2 uf1",
+        """SELECT 'user' AS side, u AS id, round(x, 5) AS x, round(y, 5) AS y FROM uf1
+           UNION ALL SELECT side, feature, round(x, 5), round(y, 5) FROM sf1""",
+        _fit_parts(40, 0.05),
+    ),
+)
+def cmf_fit_factors(spark, folder):
+    entries, _, _ = entries_of(spark, folder)
+    users, _ = fixed_model(entries)
+    fitted = cmf.fit(entries, TWO, start=users)
+    rows = fitted.users.select(F.lit("user").alias("side"), "id", "features").unionByName(fitted.sides.select("side", "id", "features"))
+    part = lambda at: F.round(F.col("features")[at].cast("double"), 5)
+    return rows.select("side", "id", part(0).alias("x"), part(1).alias("y"))
+
+
 @query("cmf_fit_recommend")
 def cmf_fit_recommend(spark, folder):
     labelled, catalogue, users = _split_model(spark, folder)

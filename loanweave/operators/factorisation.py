@@ -355,8 +355,9 @@ def fit(
     users: DataFrame | None = None,
     how: str | None = None,
     report_loss: bool = False,
+    start: DataFrame | None = None,
 ) -> Factors:
-    """Alternate side and user updates from hash-seeded user factors.
+    """Alternate side and user updates from hash-seeded user factors, or from ``start`` (``id, features``).
 
     ``entries`` has ``side, u, feature, r``. ``users(id)`` may name users beyond those with entries: they
     take part in the first Gramian like everyone else and end up at zero.
@@ -367,7 +368,8 @@ def fit(
     by_side = lay_out(weighted, False, config.weights())
     by_user = lay_out(weighted, True, config.weights())
     n_sides = weighted.select("side", "feature").distinct().count()
-    current = cut_lineage(init_factors(ids, "user", config.factors, config.random_state))
+    first = init_factors(ids, "user", config.factors, config.random_state) if start is None else start.join(ids, "id", "left_semi")
+    current = cut_lineage(first.select("id", "features"))
     n_users = current.count()
     stored = F.col("features").cast("array<float>").alias("features")
     sides, losses = None, []
