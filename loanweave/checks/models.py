@@ -18,6 +18,8 @@ from .fragments import statement
 from .neighbours import topk
 
 CONFIG = cmf.CMFConfig(factors=8, iterations=2, alpha=40.0)
+# The least settings that the task names for real runs.
+FULL = cmf.CMFConfig(factors=64, iterations=10, alpha=40.0)
 TWO = cmf.CMFConfig(factors=2, iterations=1, alpha=40.0)
 
 # The same fixed two-dimensional factors on both sides of the comparison.
@@ -370,7 +372,7 @@ def full_training_submission(spark, folder):
     lines, _ = training.train_and_submit(
         cut_lineage(bed.loans(spark, folder)),
         bed.items(spark, folder),
-        CONFIG,
+        FULL,
         bed.item_embeddings(spark, folder),
         DIM,
     )
@@ -399,7 +401,6 @@ def grid_search_map(spark, folder):
         CONFIG,
         cut_lineage(embeddings),
         DIM,
-        (0.0, 0.4),
     )
     rows = [(t["factors"], t["w_embedding"], round(t["map_at_k"], 9), t is best) for t in tried]
     return spark.createDataFrame(rows, "factors int, w_embedding double, map_at_k double, best boolean")

@@ -237,12 +237,12 @@ def hybrid_als_topk(spark, folder):
 @query("hybrid_weight_grid")
 def hybrid_weight_grid(spark, folder):
     features, labelled = _hybrid_on_split(spark, folder)
-    # every mix of tenths that sums to one and gives the factorisation at least half
+    # every mix of fifths that sums to one and gives the factorisation at least three of them
     mixes = [
-        {"als": a / 10, "user_user": b / 10, "item_item": c / 10, "subjects": (10 - a - b - c) / 10}
-        for a in range(5, 11)
-        for b in range(11 - a)
-        for c in range(11 - a - b)
+        {"als": a / 5, "user_user": b / 5, "item_item": c / 5, "subjects": (5 - a - b - c) / 5}
+        for a in (3, 4, 5)
+        for b in range(6 - a)
+        for c in range(6 - a - b)
     ]
     scores = weight_grid(features, histories.select_split(labelled, "val"), mixes)
     return scores.withColumn("map_at_k", F.round("map_at_k", 9))
