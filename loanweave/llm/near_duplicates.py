@@ -3,9 +3,9 @@
 A text's sketch is its ``SKETCH`` smallest shingle hashes. Texts with equal shingle sets become one class. Each class
 is entered under the rarer of its retained values: two sets as similar as asked share so many retained values that they
 meet under one of those (``least_overlap``). A list of classes under a value is first compared with its most central
-member; classes of a list that are then still in different groups are compared block by block. Pairs whose union
-sketch makes the similarity unlikely are dropped, all others are verified on the full sets, and groups are the
-connected components of verified pairs.
+member: pairs whose union sketch makes the similarity unlikely are dropped, all others are verified on the full sets.
+Classes of a list that are then still in different groups are compared with each other, as far as the places of their
+rarest shingles allow (``cross_pairs``, exact). Groups are the connected components of verified pairs.
 
 How rare a value is comes from a table of ``COUNTERS`` counters, a size that does not depend on the data; it only
 orders values, so collisions cost time, never links. No list is capped: long ones meet in blocks of ``BLOCK``.
@@ -37,7 +37,7 @@ PER_CENT = 85
 DEVIATIONS = 4.5
 COUNTERS = 1 << 20
 CHUNK = 1 << 14
-BLOCK = 512
+BLOCK = 4096
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -89,15 +89,15 @@ def sketched(documents: DataFrame) -> DataFrame:
     return found.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))
 
 
-def rarity(sketches: DataFrame) -> np.ndarray:
-    """How many sketches retain a value of each counter; ``COUNTERS`` numbers whatever the data."""
+def rarity(sketches: DataFrame, column: str = "sketch") -> np.ndarray:
+    """How many of the arrays in ``column`` hold a value of each counter; ``COUNTERS`` numbers whatever the data."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         total = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
-            values = np.concatenate([np.zeros(0, dtype=np.int64), *batch["sketch"]])
+            values = np.concatenate([np.zeros(0, dtype=np.int64), *batch[column]])
             total += np.bincount(values % COUNTERS, minlength=COUNTERS)
         salt = TaskContext.get().partitionId() % 64
         chunks = range(0, COUNTERS, CHUNK)
@@ -108,7 +108,7 @@ def rarity(sketches: DataFrame) -> np.ndarray:
         return pd.DataFrame({"chunk": [group["chunk"].iloc[0]], "salt": [0], "counts": [total.tobytes()]})
 
     schema = "chunk int, salt int, counts binary"
-    parts = sketches.select("sketch").mapInPandas(count, schema)
+    parts = sketches.select(column).mapInPandas(count, schema)
     sums = parts.groupBy("chunk", "salt").applyInPandas(add, schema).groupBy("chunk").applyInPandas(add, schema)
     found = np.zeros(COUNTERS, dtype=np.int64)
     for row in sums.collect():
@@ -190,51 +190,52 @@ def full_sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame) -> Da
     return rows.mapInPandas(run, "id long, shingles array<long>").dropDuplicates(["id"])
 
 
-def cross_pairs(lists: DataFrame, classes: DataFrame, labels: DataFrame, per_cent: int) -> DataFrame:
-    """Likely pairs of classes that share a list and are in different groups so far.
+def prefixes(sets: DataFrame, counts: np.ndarray, per_cent: int) -> DataFrame:
+    """value, id, at and n: the rarest shingles of each set, enough that similar sets share one, with their places."""
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
 
-    A list in one group needs no comparison. The others are cut into blocks of ``BLOCK``; every two blocks of a list
-    meet in a task of their own, which counts shared retained values and returns only likely pairs.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values, ids, places, sizes = [], [], [], []
+            for cid, own in zip(batch["id"], batch["shingles"]):
+                n = len(own)
+                rarest = own[np.lexsort((own, shared.value[own % COUNTERS]))[: n - -(-per_cent * n // 100) + 1]]
+                values.append(rarest)
+                ids.append(np.full(len(rarest), cid))
+                places.append(np.arange(len(rarest)))
+                sizes.append(np.full(len(rarest), n))
+            if values:
+                yield pd.DataFrame({"value": np.concatenate(values), "id": np.concatenate(ids), "at": np.concatenate(places), "n": np.concatenate(sizes)})
+
+    return sets.mapInPandas(run, "value long, id long, at long, n long")
+
+
+def cross_pairs(sets: DataFrame, labels: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs of sets in different groups that can still be as similar as asked: exact, by prefixes of full sets.
+
+    The first shingle that two sets share, in order of rarity, bounds their overlap by what follows it in either set.
+    That bound leaves few pairs even of a long list. Lists of more than ``BLOCK`` sets are joined block by block.
     """
-    grouped = lists.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    spans = grouped.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
-    open_lists = spans.filter("low < high").select("value", "size")
-    members = split_by_frequency(grouped, open_lists, ["value"], "size")
+    entered = prefixes(sets, rarity(sets, "shingles"), per_cent).join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    entered = written(entered, "prefixes")
+    spans = entered.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
+    open_lists = written(spans.filter("low < high").select("value", "size"), "open-prefixes")
+    members = split_by_frequency(entered, open_lists, ["value"], "size")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     dealt = (
-        members.withColumn("own", own)
+        members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("value", "id", "label", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own")
-        .join(classes.select("id", "n_shingles", "sketch"), "id")
+        .withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
     )
-
-    def meet(group: pd.DataFrame) -> pd.DataFrame:
-        x, y = group["x"].iloc[0], group["y"].iloc[0]
-        sides = [group[group["own"] == x], group[group["own"] == y]]
-        counts, sizes = [], []
-        values, at = np.unique(np.concatenate(list(group["sketch"])), return_inverse=True)
-        useful = np.bincount(at, minlength=len(values)) > 1
-        column = np.cumsum(useful) - 1
-        for side in sides:
-            held = np.zeros((len(side), int(useful.sum())), dtype=np.float32)
-            for row, sketch in enumerate(side["sketch"]):
-                where = np.searchsorted(values, sketch)
-                held[row, column[where[useful[where]]]] = 1
-            counts.append(held)
-            sizes.append(side["n_shingles"].to_numpy())
-        common = counts[0] @ counts[1].T
-        least = [np.array([least_overlap(n, per_cent) for n in s]) for s in sizes]
-        label = [side["label"].to_numpy() for side in sides]
-        ids = [side["id"].to_numpy() for side in sides]
-        fits = (common >= np.maximum(least[0][:, None], least[1][None, :])) & (label[0][:, None] != label[1][None, :])
-        fits &= 100 * np.minimum.outer(sizes[0], sizes[1]) >= per_cent * np.maximum.outer(sizes[0], sizes[1])
-        if x == y:
-            fits &= ids[0][:, None] < ids[1][None, :]
-        a, b = np.nonzero(fits)
-        return pd.DataFrame({"a": np.minimum(ids[0][a], ids[1][b]), "b": np.maximum(ids[0][a], ids[1][b])})
-
-    return dealt.groupBy("value", "x", "y").applyInPandas(meet, "a long, b long").distinct()
+    dealt = written(dealt.select("value", "x", "y", "own", "id", "label", "at", "n"), "blocks")
+    left, right = (dealt.select("value", "x", "y", *(F.col(c).alias(f"{c}_{side}") for c in ("own", "id", "label", "at", "n"))) for side in "ab")
+    n = F.col("n_a") + F.col("n_b")
+    most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    # overlap / (n - overlap) >= share, in whole numbers
+    possible = (most * (100 + per_cent) >= per_cent * n) & (F.col("label_a") < F.col("label_b"))
+    meeting = (F.col("x") == F.col("y")) | (F.col("own_a") != F.col("own_b"))
+    pairs = left.join(right, ["value", "x", "y"]).filter(possible & meeting)
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
@@ -254,18 +255,20 @@ def near_duplicates(documents: DataFrame, per_cent: int = PER_CENT) -> DataFrame
         entered.groupBy("value").agg(F.min(F.struct("place", "id")).alias("head"), F.count(F.lit(1)).alias("size"))
         .filter("size > 1").select("value", "size", F.col("head.id").alias("head"))
     )
+    heads = written(heads, "heads")
     lists = written(split_by_frequency(entered, heads, ["value"], "size").select("value", "id", "head"), "lists")
     stars = lists.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    likely = written(likely_pairs(stars, classes, per_cent), "likely")
-    wanted = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-    sets = written(full_sets(documents, classes, wanted), "sets")
-    links = written(verified(likely, sets, per_cent), "links")
+    sets = written(full_sets(documents, classes, lists.select("id").distinct()), "sets")
+    links = written(verified(likely_pairs(stars, classes, per_cent), sets, per_cent), "links")
     labels = components(links)
-    crossing = written(cross_pairs(lists.select("value", "id"), classes, labels, per_cent), "crossing")
+    # a list in one group is done; the members of the others are compared across groups
+    grouped = lists.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    spans = grouped.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
+    open_lists = written(spans.filter("low < high").select("value", "size"), "open-lists")
+    undecided = split_by_frequency(grouped, open_lists, ["value"], "size").select("id").distinct()
+    crossing = written(cross_pairs(sets.join(undecided, "id", "left_semi"), labels, per_cent), "crossing")
     if not crossing.isEmpty():
-        more = crossing.select(F.col("a").alias("id")).union(crossing.select("b")).distinct().join(sets, "id", "left_anti")
-        every = sets.unionByName(written(full_sets(documents, classes, more), "more-sets"))
-        labels = components(links.unionByName(written(verified(crossing, every, per_cent), "more-links")))
+        labels = components(links.unionByName(written(verified(crossing, sets, per_cent), "more-links")))
     named = classes.join(labels, "id", "left").select("set_key", "copies", "first_doc", F.coalesce("label", "id").alias("label"))
     lowest = named.groupBy("label").agg(F.min("first_doc").alias("component_id"))
     members = written(named.join(lowest, "label").select("set_key", "copies", "component_id"), "members")
