@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ERROR_RATE = 0.05
+ERROR_RATE = 0.1
 MIN_PIECE = 12
 WHOLE_BELOW = 20
 #: Characters of items that are searched at once; a larger benchmark takes more passes over the documents.
