@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -181,21 +182,21 @@ def keep_flags(lines: list[int], zones: list[int], partner: list[int] | None) ->
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every page."""
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             found = [blocks(page) for page in batch["html"]]
             yield batch.drop(columns="html").assign(
-                lines=[[t for t, _ in f] for f in found],
+                # blocks hold no line breaks; compressed, since they are shuffled once
+                lines=[squeeze("\n".join(t for t, _ in f).encode("utf-8", "replace")) for f in found],
                 zones=[[z for _, z in f] for f in found],
                 hashes=[[xxhash.xxh3_64_intdigest(t) >> 1 for t, _ in f] for f in found],
             )
 
     url = F.coalesce("url", F.lit(""))
-    rows = pages.select(
-        F.col("page_id").cast("string"), "url", host_of(url).alias("host"), path_of(url).alias("path"), "html"
-    )
-    schema = "page_id string, url string, host string, path string, lines array<string>, zones array<int>, hashes array<long>"
-    found = rows.mapInPandas(parse, schema).withColumn("key", F.xxhash64("host", "path", "zones", "hashes"))
-    parsed = written(found, "blocks")
+    rows = pages.select(F.col("page_id").cast("string"), "url", host_of(url).alias("host"), path_of(url).alias("path"), "html")
+    schema = "page_id string, url string, host string, path string, lines binary, zones array<int>, hashes array<long>"
+    # parsed twice, for the alignment and for the result: texts would cost more disk than parsing costs time
+    parsed = rows.mapInPandas(parse, schema).withColumn("key", F.xxhash64("host", "path", "zones", "hashes"))
     # equal pages at one address are one page here, so that they are not each other's neighbours
     once = written(parsed.select("host", "path", "key", "zones", "hashes").dropDuplicates(["key"]), "addresses")
     ranked = written(contiguous_index(once, ["host", "path", "key"], "place"), "ranked")
@@ -217,6 +218,14 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame({"key": batch["key"], "keep": flags})
 
     kept = paired.mapInPandas(judge, "key long, keep array<boolean>")
-    full = parsed.select("page_id", "url", "key", "lines").join(kept, "key")
-    text = F.array_join(F.filter("lines", lambda line, i: F.get(F.col("keep"), i)), "\n")
-    return full.select(F.col("page_id").cast(pages.schema["page_id"].dataType), "url", text.alias("text"))
+    def select(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = []
+            for squeezed, keep in zip(batch["lines"], batch["keep"]):
+                lines = zstandard.ZstdDecompressor().decompress(squeezed).decode("utf-8").split("\n")
+                texts.append("\n".join(line for line, k in zip(lines, keep) if k))
+            yield batch[["page_id", "url"]].assign(text=texts)
+
+    full = parsed.select("page_id", "url", "key", "lines").join(kept, "key").drop("key")
+    found = full.mapInPandas(select, "page_id string, url string, text string")
+    return found.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))
