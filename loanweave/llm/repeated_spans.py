@@ -32,8 +32,8 @@ LENGTH = 200
 GRAM = 64
 #: Strings of a text that are handled at once; longer texts go piece by piece, with overlap.
 PIECE = 1 << 17
-#: Buckets with more contexts than this, or than a thousandth of all, are compared as rows instead of within tasks.
-TASK_CONTEXTS = 1_000
+#: Contexts of a bucket that one task compares, some 7 MB; buckets with more are compared as rows of a shuffle.
+TASK_CONTEXTS = 20_000
 ROWS_AT_ONCE = 8_000
 
 _U = np.uint64
@@ -149,7 +149,7 @@ def _bytes(squeezed: bytes) -> bytes:
 
 
 def repeated_starts(contexts: DataFrame) -> DataFrame:
-    """key and place (one string each) of strings that ``contexts`` (bucket, key, place, needs, hot, own) hold twice."""
+    """key and place (runs of strings) of strings that ``contexts`` (bucket, key, place, needs, hot, own) hold twice."""
 
     def strings(part: pd.DataFrame) -> tuple[np.ndarray, ...]:
         """bucket, name, row and offset of every string; equal strings have the same distance to the anchor."""
@@ -187,8 +187,12 @@ def repeated_starts(contexts: DataFrame) -> DataFrame:
         twice = np.zeros(len(order), dtype=bool)
         twice[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
         twice &= part["needs"].to_numpy()[row]
-        tag = part["place"].to_numpy()[row[twice]] >> 48
-        return pd.DataFrame({"key": part["key"].to_numpy()[row[twice]], "place": _packed(start[twice], start[twice], start[twice], tag)})
+        # strings of a context that follow each other leave as one run
+        row, start = row[twice], start[twice]
+        begins = np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)])[: len(row)]
+        ends = np.concatenate([begins[1:], [True]])[: len(row)]
+        tag = part["place"].to_numpy()[row[begins]] >> 48
+        return pd.DataFrame({"key": part["key"].to_numpy()[row[begins]], "place": _packed(start[begins], start[ends], start[begins], tag)})
 
     def as_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -218,12 +222,12 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     found = written(find_anchors(rows), "anchors")
     counts = found.groupBy("bucket", "context").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first_key"))
     kinds = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).filter("total > 1")
+    kinds = written(kinds, "buckets")
     useful = written(split_by_frequency(counts, kinds.drop("total"), ["bucket"], "kinds"), "contexts")
     shared = written(split_by_frequency(found, useful, ["bucket", "context"], "n").drop("context"), "shared")
     whole = shared.filter("n > 1").select("key", "place")
-    limit = max(TASK_CONTEXTS, useful.count() // 1_000)
     apart = shared.filter("kinds > 1 and (n = 1 or key = first_key)").select(
-        "bucket", "key", "place", (F.col("n") == 1).alias("needs"), (F.col("kinds") > limit).alias("hot")
+        "bucket", "key", "place", (F.col("n") == 1).alias("needs"), (F.col("kinds") > TASK_CONTEXTS).alias("hot")
     )
     tag = F.shiftright("place", 48).alias("tag")
     asked = apart.groupBy("key", tag).agg(F.collect_list(F.struct("bucket", "place", "needs", "hot")).alias("asked"))
