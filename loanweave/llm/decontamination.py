@@ -1,11 +1,12 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 An item that occurs in a text with at most k edits, cut into k + 1 pieces, has one piece unharmed. All pieces of all
-items are searched at once (Aho-Corasick), and the stretch of text around a hit is verified with Myers' bit-parallel
-edit distance. Texts and items are compared in lower case with white space as single spaces.
+items are searched at once (Aho-Corasick). A hit is verified with Myers' bit-parallel edit distance on growing parts of
+the item: j neighbouring pieces with at most j - 1 edits. Where both halves of a part exceed their budgets the part does
+too, so an occurrence passes from one of its pieces up to the whole item, while chance hits of short pieces mostly end
+at two pieces. Texts and items are compared in lower case with white space as single spaces.
 
-The error budget of an item is ``ERROR_RATE`` of its length, less where pieces would fall below ``MIN_PIECE``
-characters. An item of fewer than ``WHOLE_BELOW`` characters would be found by chance; it matches only texts that equal
+The error budget of an item is ``ERROR_RATE`` of its length, rounded down, whatever the length of its pieces. An item of fewer than ``WHOLE_BELOW`` characters would be found by chance; it matches only texts that equal
 it as a whole. Null and empty texts and items match nothing; equal items each match; repeated rows are reported alike;
 columns other than doc_id, text, item_id are left out. Texts of any length are searched whole.
 """
@@ -16,6 +17,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -23,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ERROR_RATE = 0.1
-MIN_PIECE = 12
 WHOLE_BELOW = 20
 #: Characters of items that are searched at once; a larger benchmark takes more passes over the documents.
 BLOCK_CHARS = 1_000_000
@@ -34,7 +35,7 @@ def normalized(text: str) -> str:
 
 
 def budget(item: str, rate: float = ERROR_RATE) -> int:
-    return max(0, min(int(rate * len(item)), len(item) // MIN_PIECE - 1))
+    return int(rate * len(item))
 
 
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:
@@ -74,6 +75,33 @@ class Myers:
             yield end, score
 
 
+@lru_cache(maxsize=4096)
+def _matcher(pattern: str) -> Myers:
+    return Myers(pattern)
+
+
+@lru_cache(maxsize=4096)
+def parts(errors: int, piece: int) -> list[tuple[int, int]]:
+    """Piece numbers [a, b) of the growing parts around a piece, from two pieces up to all of ``errors + 1``."""
+    a, b, found = 0, errors + 1, []
+    while b - a > 1:
+        found.append((a, b))
+        middle = (a + b) // 2
+        a, b = (a, middle) if piece < middle else (middle, b)
+    return found[::-1]
+
+
+def holds(item: str, errors: int, piece: int, text: str, start: int) -> bool:
+    """Whether all parts around a piece occur within their budgets, if the piece lies where ``start`` is the item's."""
+    for a, b in parts(errors, piece):
+        first, last = len(item) * a // (errors + 1), len(item) * b // (errors + 1)
+        spare = b - a - 1
+        around = text[max(0, start + first - spare) : max(0, start + last + spare)]
+        if not any(distance <= spare for _, distance in _matcher(item[first:last]).ends(around)):
+            return False
+    return True
+
+
 def best_match(item: str, text: str, errors: int) -> tuple[int, int, int] | None:
     """(distance, start, end) of the best stretch of ``text`` within the budget, the first of equally good ones."""
     exact = text.find(item)
@@ -101,13 +129,13 @@ class Items:
 
         self.errors = [budget(t, self.rate) for t in self.texts]
         self.whole: dict[str, list[int]] = {}
-        owners: dict[str, list[tuple[int, int]]] = {}
+        owners: dict[str, list[tuple[int, int, int]]] = {}
         for k, text in enumerate(self.texts):
             if len(text) < WHOLE_BELOW:
                 self.whole.setdefault(text, []).append(k)
                 continue
-            for offset, piece in pieces(text, self.errors[k]):
-                owners.setdefault(piece, []).append((k, offset))
+            for number, (offset, piece) in enumerate(pieces(text, self.errors[k])):
+                owners.setdefault(piece, []).append((k, number, offset))
         self.automaton = ahocorasick.Automaton() if owners else None
         for piece, owned in owners.items():
             self.automaton.add_word(piece, (len(piece), owned))
@@ -119,8 +147,11 @@ class Items:
         found = [(k, 0, 0, len(text)) for k in self.whole.get(text, ())]
         places: dict[int, list[int]] = {}
         for end, (size, owned) in self.automaton.iter(text) if self.automaton else ():
-            for k, offset in owned:
-                places.setdefault(k, []).append(end + 1 - size - offset)
+            for k, number, offset in owned:
+                start, known = end + 1 - size - offset, places.get(k)
+                # next to a place that is already one, this hit is no more than a wider stretch
+                if known and abs(start - known[-1]) <= self.errors[k] or holds(self.texts[k], self.errors[k], number, text, start):
+                    places.setdefault(k, []).append(start)
         for k, starts in sorted(places.items()):
             item, errors, best = self.texts[k], self.errors[k], None
             for low, high in self._stretches(sorted(starts), len(item), errors):

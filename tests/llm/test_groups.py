@@ -216,6 +216,39 @@ def test_contaminated(spark):
     assert decontamination.contaminated(frame(spark), benchmark.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("words", [4, 8, 18, 43, 72])
+def test_a_tenth_of_an_item_may_be_edited(spark, words):
+    item = prose(600 + words, words)
+    most = len(item) // 10
+
+    def edited(n):
+        at = {len(item) * (2 * j + 1) // (2 * n) for j in range(n)}
+        return prose(1, 200) + " " + "".join("#" if p in at else c for p, c in enumerate(item)) + " " + prose(2, 200)
+
+    texts = [edited(most), edited(most + 1), prose(3, 500)]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    distances = [edit_distance_within(item, t) for t in texts]
+    assert distances[:2] == [most, most + 1]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = decontamination.contaminated(frame(spark, rows), benchmark).collect()
+    assert {(r["doc_id"], r["distance"]) for r in found} == {(i, d) for i, d in enumerate(distances) if d <= most}
+    kept = decontamination.without_contaminated(frame(spark, rows), benchmark).collect()
+    assert sorted(r["doc_id"] for r in kept) == [i for i, d in enumerate(distances) if d > most]
+
+
+def test_growing_parts_lose_no_match():
+    rng = random.Random(5)
+    for _ in range(150):
+        item = "".join(rng.choice("abcd") for _ in range(rng.randrange(20, 60)))
+        copy = list(item)
+        for _ in range(rng.randrange(8)):
+            copy[rng.randrange(len(copy))] = rng.choice(["", "a", "bc", "x"])
+        text = "".join(rng.choice("abcd") for _ in range(30)) + "".join(copy) + "".join(rng.choice("abcd") for _ in range(30))
+        least = edit_distance_within(item, text)
+        found = decontamination.Items([1], [item], 0.1).find(text)
+        assert [d for _, d, _, _ in found] == ([least] if least <= len(item) // 10 else [])
+
+
 def page(body, head="<title>t</title><script>if (a < b) x('</p>')</script>"):
     return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
 
