@@ -19,9 +19,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.passing(docs)
 
 
+#: Least similarity of near duplicates in this stage, in per cent of five-word shingles; op6 has its own, 85.
+NEAR_PER_CENT = 80
+
+
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group stays."""
-    return near_duplicates.one_of_each(docs).select(docs.columns)
+    return near_duplicates.one_of_each(docs, per_cent=NEAR_PER_CENT).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -322,3 +322,17 @@ def test_pipeline_stages(spark, tmp_path):
     check_packing([tuple(r) for r in seen["secrets"].filter("doc_id is not null").collect()], seen["pack"].filter("doc_id is not null").collect())
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert rows_of(whole.select("doc_id", "piece", "length", "ids_crc32")) == rows_of(seen["pack"].select("doc_id", "piece", "length", "ids_crc32"))
+
+
+def test_pipeline_near_duplicates_from_four_fifths(spark, tmp_path):
+    def pair(seed, words, tail):
+        base = prose(seed, words)
+        return base, base + " " + " ".join(f"new{seed}x{k}" for k in range(tail))
+
+    texts = [*pair(40, 94, 20), *pair(41, 94, 25)]
+    shares = [len(shingle_set(a) & shingle_set(b)) / len(shingle_set(a) | shingle_set(b)) for a, b in (texts[:2], texts[2:])]
+    assert 0.8 < shares[0] < 0.83 and 0.77 < shares[1] < 0.8
+    docs = frame(spark, [(i, t, "en", "s", 5) for i, t in enumerate(texts)])
+    kept = dict(corpus_pipeline.STAGES)["dedup"](spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3]
+    assert near_duplicates.one_of_each(docs).count() == 4
