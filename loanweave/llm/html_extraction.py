@@ -28,6 +28,9 @@ from .common import written
 from .url_filters import host_of, path_of
 
 DROP, PLAIN, MAIN = 0, 1, 2
+#: Only while a page is read: dropped for a class word, by which an article inside is not bound; the same for words that
+#: name lists of other articles; and an article inside of such a list.
+WRAPPED, LISTED, INNER = 3, 4, 5
 
 # Element names of the HTML standard, and words that name furniture in class, id or role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,10 +47,17 @@ CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
 FURNITURE_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|footer|header|masthead|cookies?|"
     r"consent|notices?|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|share|sharing|social|related|"
-    r"recommend\w*|comments?|disqus|respond|repl(?:y|ies)|widget|toolbar|pag(?:ination|er)|login|signup|search|hidden|"
+    r"recommend\w*|comments?|disqus|respond|repl(?:y|ies)|widget|toolbar|pag(?:ination|er)|login|signup|search|"
     r"navigation|contentinfo|complementary)(?:$|[\s_-])",
     re.I,
 )
+#: Words of elements that often hold other people's or other pages' articles.
+LIST_WORDS = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|sidebar|related|recommend\w*|comments?|disqus|respond|repl(?:y|ies)|widget)(?:$|[\s_-])", re.I
+)
+#: Class names that say how a page is laid out, not what the element is; and those that hide it.
+MODIFIER = re.compile(r"(?:^|[_-])(?:has|with|without|no|overflow)[_-]", re.I)
+HIDDEN_CLASS = re.compile(r"(?:^|\s)(?:(?:is|visually)[_-])?hidden(?:\s|$)", re.I)
 ARTICLE_WORDS = re.compile(r"(?:^|[\s_-])(?:article(?:[_-]?body)?|(?:post|entry|story|main|page)[_-](?:body|content|text)|articlebody|main)(?:$|[\s_-])", re.I)
 
 _TOKEN = re.compile(
@@ -58,27 +68,51 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _HINTS = re.compile(r"(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_MAY_HIDE = re.compile(r"hidden|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+
+
+def _hides(attributes: str) -> bool:
+    """Whether an attribute (not a word in some attribute's value) hides the element."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).lower()
+        if name == "hidden" or (name == "aria-hidden" and value.strip() == "true") or (name == "style" and "display:none" in "".join(value.split())):
+            return True
+    return False
 
 
 def _zone(name: str, attributes: str, outer: int) -> int:
-    """Zone of an element inside one of zone ``outer``; dropped elements drop all they hold."""
+    """Zone of an element inside one of zone ``outer``; dropped elements drop all they hold, but see ``WRAPPED``."""
     if outer == DROP:
         return DROP
     hints = " ".join(a or b or c for a, b, c in _HINTS.findall(attributes)) if attributes else ""
-    if attributes and _HIDDEN.search(attributes):
+    if attributes and _hides(attributes):
         return DROP
     if name in ("html", "body"):
         return outer
+    inside = outer in (MAIN, INNER)
     # an article's own header holds its title
-    if name in FURNITURE and not (name == "header" and outer == MAIN):
+    if name in FURNITURE and not (name == "header" and inside):
         return DROP
+    article = INNER if outer in (LISTED, INNER) else MAIN
     if hints:
         if name not in ARTICLE and ARTICLE_WORDS.search(hints):
-            return MAIN
-        if FURNITURE_WORDS.search(hints):
-            return DROP
-    return MAIN if name in ARTICLE else outer
+            return article
+        own = " ".join(h for h in hints.split() if not MODIFIER.search(h))
+        if FURNITURE_WORDS.search(own) or HIDDEN_CLASS.search(own):
+            return DROP if inside else LISTED if outer == LISTED or LIST_WORDS.search(own) else WRAPPED
+    return article if name in ARTICLE else outer
+
+
+def _settled(found: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Zones of a read page as DROP, PLAIN or MAIN: an article in a list counts where it is most of the page's text."""
+    size = lambda zone: sum(len(t) for t, z in found if z == zone)
+    zones = {DROP: DROP, PLAIN: PLAIN, MAIN: MAIN, WRAPPED: DROP, LISTED: DROP, INNER: DROP}
+    if any(z == INNER for _, z in found) and not size(MAIN) and size(INNER) > size(PLAIN):
+        zones[INNER] = MAIN
+    return [(t, zones[z]) for t, z in found]
 
 
 def blocks(page: str | None) -> list[tuple[str, int]]:
@@ -134,7 +168,7 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
         open_.append((name, zone))
     pending.append(page[at:])
     flush()
-    return found
+    return _settled(found)
 
 
 def shared_lines(own: list[int], other: list[int]) -> list[bool]:

@@ -266,6 +266,25 @@ def test_blocks():
     assert texts_of(page("<nav>menu<article><p>never closed menu</p></article>")) == ["never closed menu"]
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "overflow-hidden", "with-header", "social-theme", "page--no-comments", "menu-open"])
+def test_wrapped_articles_stay(name):
+    for inner in ("<article><p>z</p></article>", "<main><p>z</p></main>", "<div class='post-content'><p>z</p></div>"):
+        kept = [t for t, z in html_extraction.blocks(page(f"<div class='{name}'><nav>n</nav><section>{inner}</section></div>")) if z == html_extraction.MAIN]
+        assert kept == ["z"]
+
+
+def test_hidden_is_an_attribute_or_a_class():
+    assert texts_of(page("<p title='a hidden gem'>a</p><p data-x='hidden'>b</p><div class='hidden-xs'>c</div>")) == ["a", "b", "c"]
+    assert texts_of(page("<p hidden>a</p><p class='x hidden'>b</p><div aria-hidden='true'>c</div><p style='display: none'>d</p><p hidden=''>e</p>f")) == ["f"]
+
+
+def test_listed_articles_go_where_the_page_has_its_own():
+    listed = "<div class='comments'><article><p>c</p></article></div><div class='related'><article>r</article></div>"
+    assert texts_of(page(f"<article><p>long text</p>{listed}</article>{listed}")) == ["long text"]
+    assert texts_of(page(f"<p>long text</p>{listed}")) == ["long text"]
+    assert texts_of(page("<div class='widget'><article><p>long text</p></article></div><p>x</p>")) == ["long text", "x"]
+
+
 def test_page_differencing(spark):
     furniture = "<div>Home of things</div><div>Ways to reach us</div>"
     rows = [(i, f"http://h.org/a/{i}", page(f"{furniture}<div>{prose(i, 20)}</div><div>end line</div>"), "x") for i in range(6)]
