@@ -1,13 +1,14 @@
 """Main text by nearest-URL page differencing.
 
-Pages of a host are ordered by URL path; each is paired with the neighbour whose path agrees longest. The text blocks of
+Pages of a host are ordered by URL path, equal ones once, at the first of their paths; each is paired with the neighbour
+whose path agrees longest, so that all copies of a page are compared with one page that differs. The text blocks of
 both are aligned by longest common subsequence, and blocks that both pages share are site furniture and go. Mark-up
 guides this where it is explicit: blocks in menus, forms, adverts and the like go even if only one page has them, and
 blocks inside an element marked as the article stay even if the neighbour repeats them (a quoted or syndicated paragraph is
 no furniture). Where a page marks an article, blocks outside of it go.
 
 A null html is empty, a null url has an empty host; pages without a neighbour on their host are cleaned by mark-up
-alone, and so is a page equal to its neighbour. Repeated rows are judged alike; other columns stay out. Very long pages are
+alone. Repeated rows are judged alike; other columns stay out. Very long pages are
 read whole; the alignment works on block hashes with one machine integer per page.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.indexing import contiguous_index
-from .common import written
+from .common import split_by_frequency, written
 from .url_filters import host_of, path_of
 
 DROP, PLAIN, MAIN = 0, 1, 2
@@ -230,10 +231,14 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("string"), "url", host_of(url).alias("host"), path_of(url).alias("path"), "html")
     schema = "page_id string, url string, host string, path string, lines binary, zones array<int>, hashes array<long>"
     # parsed twice, for the alignment and for the result: texts would cost more disk than parsing costs time
-    parsed = rows.mapInPandas(parse, schema).withColumn("key", F.xxhash64("host", "path", "zones", "hashes"))
-    # equal pages at one address are one page here, so that they are not each other's neighbours
-    once = written(parsed.select("host", "path", "key", "zones", "hashes").dropDuplicates(["key"]), "addresses")
-    ranked = written(contiguous_index(once, ["host", "path", "key"], "place"), "ranked")
+    parsed = rows.mapInPandas(parse, schema).withColumns(
+        {"key": F.xxhash64("host", "path", "zones", "hashes"), "content": F.xxhash64("host", "zones", "hashes")}
+    )
+    once = written(parsed.select("host", "path", "key", "content", "zones", "hashes").dropDuplicates(["key"]), "addresses")
+    # equal pages of a host are one page here, so that no page meets only copies of itself
+    same = (F.first(c).alias(c) for c in ("host", "zones", "hashes"))
+    distinct = once.groupBy("content").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("addresses"), *same)
+    ranked = written(contiguous_index(distinct, ["host", "path", "content"], "place"), "ranked")
     # neighbours in the order of URLs meet by place: unique keys, so a host with very many pages is no hot key
     side = lambda step, tag: ranked.select(
         (F.col("place") + step).alias("place"), *(F.col(c).alias(f"{c}_{tag}") for c in ("host", "path", "hashes"))
@@ -249,9 +254,11 @@ def extract(pages: DataFrame) -> DataFrame:
                 best = max(near, key=lambda n: (n[0].tolist() != r.hashes.tolist(), _agreement(r.path, n[1])), default=None)
                 partner = best[0].tolist() if best else None
                 flags.append(keep_flags(r.hashes.tolist(), r.zones.tolist(), partner))
-            yield pd.DataFrame({"key": batch["key"], "keep": flags})
+            yield pd.DataFrame({"content": batch["content"], "addresses": batch["addresses"], "keep": flags})
+
+    judged = written(paired.mapInPandas(judge, "content long, addresses long, keep array<boolean>"), "judged")
+    kept = split_by_frequency(once.select("key", "content"), judged, ["content"], "addresses").select("key", "keep")
 
-    kept = paired.mapInPandas(judge, "key long, keep array<boolean>")
     def select(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = []

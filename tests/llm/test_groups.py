@@ -304,6 +304,14 @@ def test_page_differencing(spark):
     assert html_extraction.extract(pages.filter("false")).count() == 0
 
 
+def test_copies_are_compared_with_a_page_that_differs(spark):
+    shell = "<div>Home of things</div><div>{}</div><div>Ways to reach us</div>"
+    bodies = ["first", *["copied"] * 5, "last", "copied"]
+    rows = [(i, f"http://h.org/a/{i}", page(shell.format(b))) for i, b in enumerate(bodies)]
+    found = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert [r["text"] for r in found.orderBy("page_id").collect()] == bodies
+
+
 def test_shared_lines_is_a_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(500):
