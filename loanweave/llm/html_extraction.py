@@ -5,7 +5,8 @@ whose path agrees longest, so that all copies of a page are compared with one pa
 both are aligned by longest common subsequence, and blocks that both pages share are site furniture and go. Mark-up
 guides this where it is explicit: blocks in menus, forms, adverts and the like go even if only one page has them, and
 blocks inside an element marked as the article stay even if the neighbour repeats them (a quoted or syndicated paragraph is
-no furniture). Where a page marks an article, blocks outside of it go.
+no furniture) - but not at the start or end of that element, where a block that most of several neighbours have at the
+same end is a notice or a menu. Where a page marks an article, blocks outside of it go.
 
 A null html is empty, a null url has an empty host; pages without a neighbour on their host are cleaned by mark-up
 alone. Repeated rows are judged alike; other columns stay out. Very long pages are
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,11 +31,15 @@ from .common import split_by_frequency, written
 from .url_filters import host_of, path_of
 
 DROP, PLAIN, MAIN = 0, 1, 2
+#: A block hash keeps the block's length, up to 1023 characters, in its last bits.
+LENGTH_BITS = 10
 #: Only while a page is read: dropped for a class word, by which an article inside is not bound; the same for words that
 #: name lists of other articles; and an article inside of such a list.
 WRAPPED, LISTED, INNER = 3, 4, 5
 
 # Element names of the HTML standard, and words that name furniture in class, id or role.
+#: Neighbours in the order of URLs: those next to a page, then those after them.
+SIDES = ((1, "before"), (-1, "after"), (2, "before2"), (-2, "after2"))
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script style noscript template svg math iframe textarea select button object canvas audio video".split()
 BLOCKS = set(
@@ -207,11 +213,64 @@ def _agreement(path: str, other: str) -> int:
     return n
 
 
-def keep_flags(lines: list[int], zones: list[int], partner: list[int] | None) -> list[bool]:
-    """Which blocks are main text, given the neighbour's block hashes (None: no neighbour)."""
-    marked = MAIN in zones
+def block_hash(text: str) -> int:
+    most = (1 << LENGTH_BITS) - 1
+    return xxhash.xxh3_64_intdigest(text) >> LENGTH_BITS + 1 << LENGTH_BITS | min(len(text), most)
+
+
+def _edges(main: list[int], shared: list[bool]) -> tuple[set[int], set[int]]:
+    """Shared blocks at the start of an article, before or after one own block (its title), and those at its end."""
+    first, last, own = set(), set(), 0
+    for line, s in zip(main, shared):
+        own += not s
+        if own > 1:
+            break
+        if s:
+            first.add(line)
+    for line, s in zip(reversed(main), reversed(shared)):
+        if not s:
+            break
+        last.add(line)
+    return first, last
+
+
+def edge_furniture(main: list[int], neighbours: list[list[int]]) -> list[bool]:
+    """Which of an article's blocks are site furniture: at one end, and there in most of at least two neighbours too.
+
+    A neighbour that shares more than half of the article's text is a copy or a version and tells nothing; a block that
+    the article repeats, such as its title's sentence, is its own.
+    """
+    length = lambda line: line & (1 << LENGTH_BITS) - 1
+    first, last, asked = Counter(), Counter(), 0
+    once = {line for line, n in Counter(main).items() if n == 1}
+    for other in neighbours:
+        shared = shared_lines(main, other)
+        if 2 * sum(length(line) for line, s in zip(main, shared) if s) > sum(map(length, main)):
+            continue
+        theirs = shared_lines(other, main)
+        asked += 1
+        for count, own, its in zip((first, last), _edges(main, shared), _edges(other, theirs)):
+            count.update(own & its & once)
+    least = max(2, -(-3 * asked // 4))
+    tail = len(main)
+    while tail and last[main[tail - 1]] >= least:
+        tail -= 1
+    flags, own = [], 0
+    for at, line in enumerate(main):
+        leading = own <= 1 and first[line] >= least
+        own += not leading
+        flags.append(leading or at >= tail)
+    return flags
+
+
+def keep_flags(lines: list[int], zones: list[int], partner: list[int] | None, articles: list[list[int]] = ()) -> list[bool]:
+    """Which blocks are main text, given the paired page's block hashes (None: no neighbour) and the neighbours' articles."""
+    main = [line for line, z in zip(lines, zones) if z == MAIN]
+    if main:
+        furniture = iter(edge_furniture(main, articles))
+        return [z == MAIN and not next(furniture) for z in zones]
     shared = shared_lines(lines, partner) if partner is not None and partner != lines else [False] * len(lines)
-    return [z == MAIN or (z == PLAIN and not marked and not s) for z, s in zip(zones, shared)]
+    return [z == PLAIN and not s for z, s in zip(zones, shared)]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -224,7 +283,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 # blocks hold no line breaks; compressed, since they are shuffled once
                 lines=[squeeze("\n".join(t for t, _ in f).encode("utf-8", "replace")) for f in found],
                 zones=[[z for _, z in f] for f in found],
-                hashes=[[xxhash.xxh3_64_intdigest(t) >> 1 for t, _ in f] for f in found],
+                hashes=[[block_hash(t) for t, _ in f] for f in found],
             )
 
     url = F.coalesce("url", F.lit(""))
@@ -241,19 +300,26 @@ def extract(pages: DataFrame) -> DataFrame:
     ranked = written(contiguous_index(distinct, ["host", "path", "content"], "place"), "ranked")
     # neighbours in the order of URLs meet by place: unique keys, so a host with very many pages is no hot key
     side = lambda step, tag: ranked.select(
-        (F.col("place") + step).alias("place"), *(F.col(c).alias(f"{c}_{tag}") for c in ("host", "path", "hashes"))
+        (F.col("place") + step).alias("place"), *(F.col(c).alias(f"{c}_{tag}") for c in ("host", "path", "zones", "hashes"))
     )
-    paired = ranked.join(side(1, "before"), "place", "left").join(side(-1, "after"), "place", "left")
+    paired = ranked
+    for step, tag in SIDES:
+        paired = paired.join(side(step, tag), "place", "left")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             flags = []
             for r in batch.itertuples(index=False):
-                near = [(h, p) for host, p, h in ((r.host_before, r.path_before, r.hashes_before), (r.host_after, r.path_after, r.hashes_after)) if host == r.host]
-                # one that differs, then the longer agreement, then the earlier page
-                best = max(near, key=lambda n: (n[0].tolist() != r.hashes.tolist(), _agreement(r.path, n[1])), default=None)
-                partner = best[0].tolist() if best else None
-                flags.append(keep_flags(r.hashes.tolist(), r.zones.tolist(), partner))
+                near = [
+                    (getattr(r, f"hashes_{tag}").tolist(), getattr(r, f"path_{tag}"), getattr(r, f"zones_{tag}").tolist())
+                    for _, tag in SIDES
+                    if getattr(r, f"host_{tag}") == r.host
+                ]
+                lines = r.hashes.tolist()
+                # one that differs, then the longer agreement, then the nearer and the earlier page
+                best = max(near, key=lambda n: (n[0] != lines, _agreement(r.path, n[1])), default=None)
+                articles = [[line for line, z in zip(h, zones) if z == MAIN] for h, _, zones in near]
+                flags.append(keep_flags(lines, r.zones.tolist(), best and best[0], articles))
             yield pd.DataFrame({"content": batch["content"], "addresses": batch["addresses"], "keep": flags})
 
     judged = written(paired.mapInPandas(judge, "content long, addresses long, keep array<boolean>"), "judged")

@@ -312,6 +312,24 @@ def test_copies_are_compared_with_a_page_that_differs(spark):
     assert [r["text"] for r in found.orderBy("page_id").collect()] == bodies
 
 
+def test_furniture_at_the_ends_of_articles_goes(spark):
+    notice, more = "We use cookies", "Read also our other pages"
+    rows = []
+    for i in range(7):
+        quoted = "<p>a paragraph that all quote</p>"
+        text = f"<p>{prose(i, 20)}</p>{quoted}<p>{prose(50 + i, 20)}</p>"
+        rows.append((i, f"http://h.org/a/{i}", page(f"<main><div>{notice}</div><h1>Title {i}</h1><div>menu</div>{text}<div>{more}</div></main>")))
+        # versions of one article lose nothing
+        rows.append((20 + i, f"http://v.org/{i}", page(f"<article><p>{prose(80, 20)}</p><p>{prose(81, 20)}</p><p>Version {i}</p></article>")))
+    rows += [(40, "http://two.org/1", page(f"<main><p>{notice}</p><p>x</p></main>")), (41, "http://two.org/2", page(f"<main><p>{notice}</p><p>y</p></main>"))]
+    found = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    text = {r["page_id"]: r["text"] for r in found.collect()}
+    for i in range(7):
+        assert text[i] == "\n".join([f"Title {i}", prose(i, 20), "a paragraph that all quote", prose(50 + i, 20)])
+        assert text[20 + i] == "\n".join([prose(80, 20), prose(81, 20), f"Version {i}"])
+    assert (text[40], text[41]) == (f"{notice}\nx", f"{notice}\ny")
+
+
 def test_shared_lines_is_a_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(500):
