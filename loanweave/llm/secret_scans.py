@@ -2,7 +2,9 @@
 
 A candidate is a run of key-like characters. Its class is read from the characters it holds, and the entropy of every
 window of ``WINDOW`` characters follows from the previous window's counts: one character leaves, one enters. A
-candidate whose highest window reaches the threshold of its class is a span, unless an allow-list pattern fits it.
+candidate whose highest window reaches the threshold of its class is a span, unless an allow-list pattern fits it;
+segments that are sample values are left out before. Without a digit, a segment of mixed case that is no camel-case
+name is judged, at a higher threshold; keys of letters in one case look like words and are not found.
 Everything is SQL functions. A null or empty text has no spans; repeated rows are scanned alike; positions are code
 points, ends exclusive.
 """
@@ -24,18 +26,30 @@ ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 WINDOW = 16
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 #: Characters a class may hold and the entropy in bits that one window must reach; the first class that fits counts.
-#: A run of letters only, or of digits only, is a word or a number and belongs to no class.
+#: A run of digits only is a number and belongs to no class.
 CLASSES = (
+    ("letters", r"^[A-Za-z+/_=-]+$", 3.5),
     ("hex", r"^[0-9a-f]+$|^[0-9A-F]+$", 2.7),
     ("lower", r"^[a-z0-9_-]+$", 3.2),
     ("upper", r"^[A-Z0-9_-]+$", 3.2),
     ("mixed", r"^[A-Za-z0-9+/_=-]+$", 3.4),
 )
-#: Candidates that are no secrets: UUIDs, sample values, counting sequences, paths of plain words.
+#: Capitalized words of a name; one of two letters (In, To) stands before a longer one.
+_HUMPS = r"(?:[A-Z][a-z]{2,}|[A-Z][a-z](?=[A-Z][a-z]{2}))*"
+#: A segment of letters that is no name: both cases, and not a chain of capitalized words.
+LETTERS = (
+    rf"(?<![A-Za-z])(?![a-z]*{_HUMPS}[A-Z]{{0,4}}(?![A-Za-z]))(?=[A-Za-z]*[a-z])(?=[A-Za-z]*[A-Z])"
+    r"[A-Za-z]{16,}(?![A-Za-z])"
+)
+#: Segments that hold a sample value; they are taken out of a candidate before it is judged.
+SAMPLES = r"(?i)(?<![A-Za-z0-9])(?:[A-Za-z0-9]*(?:example|sample|placeholder|dummy|changeme|0123456789|abcdefgh)[A-Za-z0-9]*|x{4,})(?![A-Za-z0-9])"
+_WORD = rf"(?:[A-Z]+|[a-z]*{_HUMPS}[A-Z]{{0,4}}|[A-Z][a-z]*|[0-9]+)"
+_GROUPS = "|".join(rf"[A-Z0-9]{{{n}}}(?:-[A-Z0-9]{{{n}}}){{{least},}}" for n, least in ((4, 3), (5, 2), (6, 2), (7, 2), (8, 1)))
+#: Candidates that are no secrets: UUIDs, vendors' example keys, paths of plain words but not keys in equal groups.
 ALLOW = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"(?i)example|sample|placeholder|dummy|changeme|xxxx|0123456789|abcdefgh",
-    r"^/?([A-Za-z]+|[0-9]+)([/_-]([A-Za-z]+|[0-9]+))+/?$",
+    r"[A-Za-z0-9]EXAMPLE(?:KEY)?$",
+    rf"^(?!(?=.*[A-Z])(?=.*[0-9])(?:{_GROUPS})$)/?{_WORD}(?:[/_-]{_WORD})+/?$",
 )
 
 
@@ -86,14 +100,15 @@ def _window_bits(candidate: Column) -> Column:
 
 def is_random(candidate: Column, allow: tuple[str, ...] = ALLOW) -> Column:
     """Whether a candidate's entropy reaches the threshold of its class and no allow-list pattern fits it."""
+    rest = F.regexp_replace(candidate, F.lit(SAMPLES), F.lit(""))
     least = F.lit(None).cast("double")
     for _, pattern, bits in reversed(CLASSES):
-        least = F.when(F.rlike(candidate, F.lit(pattern)), F.lit(bits)).otherwise(least)
-    plausible = F.rlike(candidate, F.lit("[0-9]")) & F.rlike(candidate, F.lit("[A-Za-z]"))
+        least = F.when(F.rlike(rest, F.lit(pattern)), F.lit(bits)).otherwise(least)
+    plausible = F.rlike(rest, F.lit("[0-9]")) & F.rlike(rest, F.lit("[A-Za-z]")) | F.rlike(rest, F.lit(LETTERS))
     for pattern in allow:
-        plausible &= ~F.rlike(candidate, F.lit(pattern))
+        plausible &= ~F.rlike(candidate, F.lit(pattern)) & ~F.rlike(rest, F.lit(pattern))
     # CASE keeps the window walk to candidates that could be secrets
-    return F.when(plausible, F.coalesce(_window_bits(candidate) >= least, F.lit(False))).otherwise(F.lit(False))
+    return F.when(plausible, F.coalesce(_window_bits(rest) >= least, F.lit(False))).otherwise(F.lit(False))
 
 
 def scan(documents: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:

@@ -86,6 +86,27 @@ def test_secret_spans_and_redaction(spark):
     assert secret_scans.redact(secret_scans.scan(frame(spark, []))).columns == frame(spark, []).columns
 
 
+def test_keys_that_words_and_samples_hid(spark):
+    token = "Zk3vQ9xT1mB7pL5wR2dN8sF4"
+    secret = ["/sample/" + token, "Zk3vQ9xxxxT1mB7pL5wR2dN8sF4", "ABCDE-12345-FGHIJ-67890-KLMNO", "WQRT-4820-PLKM-1937", "kQzRwTbXpLmNvHsJdGyF", "/path/kQzRwTbXpLmNvHsJdGyF/x"]
+    harmless = ["/articles/2024/12/some-long-title", "MAX_RETRY_COUNT_LIMIT_2024", "getApplicationContextFactory", "aVeryLongWordInCamelCaseHere", "thisisaverylongwordwithoutdigits",
+                "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "xxxx-xxxx-xxxx-xxxx-1", "sample_0123456789abcdef", "/Users/someName/Library/Application", "4110879877841615"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(secret + harmless)]
+    found = {r["text"]: [tuple(s) for s in r["_spans"] if s["kind"] == 3] for r in secret_scans.scan(frame(spark, rows)).collect()}
+    assert {t for t in found if found[t]} == set(secret)
+    assert all(found[t] == [(0, 3, len(t))] for t in secret)
+
+
+def test_random_keys_of_letters_are_found(spark):
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    rows = [(i, "".join(rng.choice(letters, n)), None, None, n) for n in (16, 20, 24) for i in range(300)]
+    scanned = secret_scans.scan(frame(spark, rows)).withColumn("hit", F.size("_spans") > 0)
+    share = {r["n_chars"]: r["share"] for r in scanned.groupBy("n_chars").agg(F.avg(F.col("hit").cast("int")).alias("share")).collect()}
+    print(share)
+    assert share[16] > 0.85 and share[20] > 0.95 and share[24] > 0.97
+
+
 def test_window_entropy(spark):
     texts = ["abcdabcdabcdabcd1", "a1b2c3d4e5f6g7h8i9", "aaaaaaaaaaaaaaaaaaaa", "ab" * 20 + "qwertyuiop123456"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", secret_scans._window_bits(F.col("t")).alias("bits"))
