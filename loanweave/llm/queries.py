@@ -185,3 +185,61 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "kind string, host string, path string")
     judged = url_filters.judge(table(spark, folder, "pages").select("page_id", "url"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+@query(
+    "op11_lexical_search",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+    i AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+    c AS (SELECT count(*) AS docs, sum(len(ws))::BIGINT AS terms FROM d WHERE len(ws) > 0),
+    asked AS (SELECT q, term, count(*) AS repeats FROM (SELECT q, unnest(ws) AS term FROM i) GROUP BY q, term),
+    tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+    w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c),
+    m AS (SELECT r, doc_id, 25 + (75 * len(ws) * docs) // terms AS m FROM d, c WHERE len(ws) > 0),
+    s AS (SELECT q, r, any_value(doc_id) AS doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+          FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY q, r),
+    ranked AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN i USING (q) WHERE rank <= 10
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    from . import lexical_search
+
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+@query(
+    "op12_hard_negatives",
+    r"""
+    WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS vec
+               FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.r AS ar, b.r AS br, a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+                 list_sum([p[1] * p[2] FOR p IN list_zip(a.vec, b.vec)])::BIGINT AS score
+          FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+    p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) <= 5),
+    n AS (SELECT p.anchor_id, p.vec_id AS positive_id,
+                 row_number() OVER (PARTITION BY p.ar, p.br ORDER BY s.score DESC, s.vec_id) AS rank,
+                 s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+          FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    from . import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    is_anchor = (F.col("vec_id") % 50 == 0).alias("is_anchor")
+    rows = table(spark, folder, "embeddings").select("vec_id", label.alias("label"), F.col("embedding").alias("vector"), is_anchor)
+    return hard_negatives.mine(rows)
+
+@query("op13_bpe")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    from . import bpe
+
+    found = bpe.round_trip(table(spark, folder, "documents"))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    decoded = F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256")
+    return found.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), decoded)
