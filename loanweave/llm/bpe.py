@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: Characters of a block; one document more may start below this number.
-BLOCK_CHARS = 1 << 23
+BLOCK_CHARS = 1 << 25
 
 #: White space and the word pattern of the published byte-level vocabularies, with the space class spelt out.
 _SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
