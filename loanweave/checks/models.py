@@ -112,8 +112,8 @@ _CRAMER = """round((a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12), 6) AS x,
 def cmf_side_half_step(spark, folder):
     entries, _, _ = entries_of(spark, folder)
     users, _ = fixed_model(entries)
-    step = cmf.lay_out(cmf.with_confidence(entries, TWO.alpha), False, TWO.weights())
-    return _two(cmf.update_sides(step, users, users.count(), TWO), "side", "id")
+    step = cmf.lay_out(cmf.with_confidence(entries, TWO.alpha), False)
+    return _two(cmf.update_sides(step, users, TWO), "side", "id")
 
 
 @query(
@@ -136,8 +136,8 @@ def cmf_side_half_step(spark, folder):
 def cmf_user_half_step(spark, folder):
     entries, _, _ = entries_of(spark, folder)
     _, sides = fixed_model(entries)
-    step = cmf.lay_out(cmf.with_confidence(entries, TWO.alpha), True, TWO.weights())
-    return _two(cmf.update_users(step, sides, sides.count(), TWO), "id")
+    step = cmf.lay_out(cmf.with_confidence(entries, TWO.alpha), True)
+    return _two(cmf.update_users(step, sides, TWO), "id")
 
 
 @query(

@@ -1,8 +1,8 @@
 """Collective matrix factorisation: user factors shared by item, author, publisher and subject matrices.
 
-Entries are rows ``side, u, feature, r``. Each half-step streams the entries of a target through one pass
-of normal-equation sums; a target with very many entries is summed in parts that are merged afterwards.
-A factor row that is absent stands for the zero vector.
+Entries are rows ``side, u, feature, r``. Each half-step sends every factor row once to each part of the entries that
+needs it and solves the targets of a part in batches; a target with very many entries is summed in parts that are merged
+afterwards. A factor row that is absent stands for the zero vector. Several models can share one pass.
 """
 
 from __future__ import annotations
@@ -11,18 +11,17 @@ import math
 from dataclasses import asdict, dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as vec
-from ..session import cut_lineage, task_slots
+from ..session import cut_lineage
+from . import routing
 from .blocks import dense_product
+from .routing import PART_ENTRIES, Parts
 
 SIDES = ("item", "author", "publisher", "subject")
-PART_ENTRIES = 500_000
-BROADCAST_BYTES = 64 << 20
 _MERGE_GROUPS = 256
 
 
@@ -145,210 +144,262 @@ def gramians(factors: DataFrame, size: int) -> dict[str, np.ndarray]:
     return {row.side: np.asarray(row.total).reshape(size, size) for row in found.collect()}
 
 
-@dataclass
-class HalfStep:
-    """Entries laid out by the target of an update: ``kind, target, salt, parts, bit, other, weight, c, p``.
-
-    ``kind`` is the side of a feature target or -1 for users, ``bit`` the side of the other end.
-    """
-
-    rows: DataFrame
-    split_targets: bool
-
-
-def lay_out(entries: DataFrame, by_user: bool, weights: dict[str, float], part_entries: int = PART_ENTRIES) -> HalfStep:
-    """Partition and sort the entries by update target, once per fit; heavy targets get several parts."""
-    side_number = F.array_position(F.array(*[F.lit(side) for side in SIDES]), F.col("side")).cast("int") - 1
-    weight = F.element_at(F.create_map(*[x for s in SIDES for x in (F.lit(s), F.lit(float(weights[s])))]), F.col("side"))
+def lay_out(entries: DataFrame, by_user: bool, part_entries: int = PART_ENTRIES) -> Parts:
+    """Entries (with confidence) in parts by update target, once per fit; ``kind`` is the side of a feature target or -1 for users."""
+    number = _side_number()
     if by_user:
-        rows = entries.select(
-            F.lit(-1).alias("kind"),
-            F.col("u").alias("target"),
-            F.col("feature").alias("other"),
-            side_number.alias("bit"),
-            weight.alias("weight"),
-            "c",
-            "p",
-        )
+        rows = entries.select(F.lit(-1).alias("kind"), F.col("u").alias("target"), number.alias("bit"), F.col("feature").alias("other"), "c", "p")
     else:
-        rows = entries.select(
-            side_number.alias("kind"),
-            F.col("feature").alias("target"),
-            F.col("u").alias("other"),
-            F.lit(0).alias("bit"),
-            F.lit(1.0).alias("weight"),
-            "c",
-            "p",
-        )
-    sizes = rows.groupBy("kind", "target").agg(F.count(F.lit(1)).alias("_n"))
-    heavy = sizes.filter(F.col("_n") > part_entries).withColumn(
-        "parts", F.ceil(F.col("_n") / part_entries).cast("int")
-    )
-    rows = rows.join(heavy.drop("_n"), ["kind", "target"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("other", "bit"), F.col("parts")).cast("int"))
-    total = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    tasks = max(task_slots(entries.sparkSession), math.ceil((total[0] or 0) / part_entries))
-    keys = ["kind", "target", "salt"]
-    return HalfStep(
-        cut_lineage(rows.repartition(tasks, *keys).sortWithinPartitions(*keys)), (total[1] or 0) > part_entries
-    )
+        rows = entries.select(number.alias("kind"), F.col("feature").alias("target"), F.lit(0).alias("bit"), F.col("u").alias("other"), "c", "p")
+    return routing.lay_out(rows, part_entries)
 
 
-_SOLVED = "kind int, target long, salt int, mask int, features array<double>, a array<double>, b array<double>"
+@dataclass
+class Share:
+    """The slice of the vectors that one model holds, with its constants.
 
+    ``base`` is the part of the normal matrix that all targets of a side share: the fixed side's Gramian and the ridge
+    for feature updates; for users the weighted Gramian of each side (keys 0..3) and the ridge (key -1), added only for
+    the sides where the user has entries. ``weights`` scales the entries by the side of their other end.
+    """
 
-def _attach(step: HalfStep, factors: DataFrame, n_factors: int, size: int) -> DataFrame:
-    """Entries with the factor of their other end, still grouped by target."""
-    keys = ["kind", "target", "salt"]
-    if n_factors * size * 8 <= BROADCAST_BYTES:
-        # a small factor table travels to the entries, which stay where they are
-        return step.rows.join(F.broadcast(factors), ["bit", "other"])
-    tasks = step.rows.rdd.getNumPartitions()
-    return step.rows.join(factors, ["bit", "other"]).repartition(tasks, *keys).sortWithinPartitions(*keys)
+    start: int
+    stop: int
+    weights: np.ndarray
+    base: dict[int, np.ndarray]
+    by_user: bool
 
+    @property
+    def size(self) -> int:
+        return self.stop - self.start
 
-def solve(
-    step: HalfStep, factors: DataFrame, n_factors: int, size: int, base: dict[int, np.ndarray], by_user: bool
-) -> DataFrame:
-    """New factors ``kind, target, features`` from one pass over the entries.
+    def shared(self, kind: int, mask: int) -> np.ndarray:
+        if not self.by_user:
+            return self.base[kind]
+        return self.base[-1] + sum(self.base[bit] for bit in range(len(SIDES)) if mask >> bit & 1)
 
-    ``base`` is the part of the normal matrix that all targets of a side share: the fixed side's Gramian
-    and the ridge for feature updates; for users the weighted Gramian of each side (keys 0..3) and the
-    ridge (key -1), added only for the sides where the user has entries.
-    """
 
-    def shared(kind: int, mask: int) -> np.ndarray:
-        if not by_user:
-            return base[kind]
-        return base[-1] + sum(base[bit] for bit in range(len(SIDES)) if mask >> bit & 1)
+_SOLVED = "kind int, target long, mask int, features array<double>, a array<double>, b array<double>"
+_BATCH = 256
 
-    def run(batches):
-        current, a, b, mask, split = None, None, None, 0, False
 
-        def close():
-            features = None if split else np.linalg.solve(shared(current[0], mask) + a, b).tolist()
-            left, right = (a.ravel().tolist(), b.tolist()) if split else (None, None)
-            return (*map(int, current), int(mask), features, left, right)
+def solve(parts: Parts, vectors: DataFrame, shares: list[Share]) -> DataFrame:
+    """New vectors ``kind, target, features`` from one pass over the entries, for all models at once.
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            done = []
-            kind, target, salt, parts, bit, weight, c, p = (
-                batch.column(name).to_numpy(zero_copy_only=False)
-                for name in ("kind", "target", "salt", "parts", "bit", "weight", "c", "p")
-            )
-            rows = _matrix(batch.column("features"), size)
-            gain, pull = weight * (c - 1.0), weight * c * p
-            change = (np.diff(kind) != 0) | (np.diff(target) != 0) | (np.diff(salt) != 0)
-            edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-            for start, stop in zip(edges[:-1], edges[1:]):
-                key = (kind[start], target[start], salt[start])
-                own = rows[start:stop]
-                part_a = (own.T * gain[start:stop]) @ own
-                part_b = own.T @ pull[start:stop]
-                part_mask = int(np.bitwise_or.reduce(1 << bit[start:stop].astype(np.int64)))
-                if key == current:
-                    a, b, mask = a + part_a, b + part_b, mask | part_mask
-                    continue
-                if current is not None:
-                    done.append(close())
-                current, a, b, mask, split = key, part_a, part_b, part_mask, bool(parts[start] > 1)
-            if done:
-                yield _solved_batch(done)
-        if current is not None:
-            yield _solved_batch([close()])
-
-    columns = ["kind", "target", "salt", "parts", "bit", "weight", "c", "p", "features"]
-    solved = _attach(step, factors, n_factors, size).select(*columns).mapInArrow(run, _SOLVED)
-    if not step.split_targets:
+    ``vectors`` has ``bit, other, features``, the models' factors one after the other. Normal equations are solved in
+    batches; those of a target in several parts are added up first.
+    """
+    width = sum(share.size for share in shares)
+
+    def run(runs: pa.Table, routed: pa.Table) -> pa.Table:
+        rows, bits = routing.listed_vectors(routed, width)
+        weights = [share.weights[bits] for share in shares]
+        done = []
+        columns = [runs.column(name).to_pylist() for name in ("kind", "target", "parts", "mask", "slots", "c", "p")]
+        each = list(zip(*columns))
+        for first in range(0, len(each), _BATCH):
+            batch = each[first : first + _BATCH]
+            matrices = [np.empty((len(batch), share.size, share.size)) for share in shares]
+            pulls = [np.empty((len(batch), share.size)) for share in shares]
+            for k, (_, _, _, _, slots, c, p) in enumerate(batch):
+                slots, c, p = routing.run_arrays(slots, c, p)
+                own = rows[slots]
+                for share, weight, a, b in zip(shares, weights, matrices, pulls):
+                    mine, w = own[:, share.start : share.stop], weight[slots]
+                    a[k] = (mine.T * (w * (c - 1.0))) @ mine
+                    b[k] = (w * c * p) @ mine
+            whole = np.array([x[2] == 1 for x in batch])
+            done.append(_batch(batch, whole, matrices, pulls, shares))
+        return pa.concat_tables(done) if done else _EMPTY
+
+    solved = parts.each(parts.routed(vectors), run, _SOLVED)
+    if not parts.split_targets:
         return solved.select("kind", "target", "features")
-
-    def add_up(group: pd.DataFrame, last: bool) -> pd.DataFrame:
-        a, b = np.sum(np.stack(group["a"]), axis=0), np.sum(np.stack(group["b"]), axis=0)
-        kind, target = int(group["kind"].iloc[0]), int(group["target"].iloc[0])
-        mask = int(np.bitwise_or.reduce(group["mask"].to_numpy().astype(np.int64)))
-        row = {"kind": kind, "target": target, "salt": 0, "mask": mask, "features": None, "a": a, "b": b}
-        if last:
-            row.update(features=np.linalg.solve(shared(kind, mask) + a.reshape(size, size), b), a=None, b=None)
-        return pd.DataFrame([row])
-
     solved = cut_lineage(solved)
-    merged = (
-        solved.filter(F.col("features").isNull())
-        .withColumn("_group", F.pmod("salt", F.lit(_MERGE_GROUPS)))
-        .groupBy("kind", "target", "_group")
-        .applyInPandas(lambda group: add_up(group, False), _SOLVED)
-        .groupBy("kind", "target")
-        .applyInPandas(lambda group: add_up(group, True), _SOLVED)
-    )
-    whole = solved.filter(F.col("features").isNotNull()).unionByName(merged)
-    return whole.select("kind", "target", "features")
-
-
-_SOLVED_ARROW = pa.schema(
-    [
-        ("kind", pa.int32()),
-        ("target", pa.int64()),
-        ("salt", pa.int32()),
-        ("mask", pa.int32()),
-        ("features", pa.list_(pa.float64())),
-        ("a", pa.list_(pa.float64())),
-        ("b", pa.list_(pa.float64())),
-    ]
-)
-
-
-def _solved_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column, type=field.type) for column, field in zip(columns, _SOLVED_ARROW)], schema=_SOLVED_ARROW
+
+    def add_up(table: pa.Table, last: bool) -> pa.Table:
+        a = routing.matrix(table.column("a"), sum(share.size**2 for share in shares)).sum(axis=0)
+        b = routing.matrix(table.column("b"), width).sum(axis=0)
+        mask = int(np.bitwise_or.reduce(table.column("mask").to_numpy()))
+        matrices, at = [], 0
+        for share in shares:
+            matrices.append(a[at : at + share.size**2].reshape(1, share.size, share.size))
+            at += share.size**2
+        pulls = [b[None, share.start : share.stop] for share in shares]
+        row = (table.column("kind")[0].as_py(), table.column("target")[0].as_py(), 1, mask)
+        return _batch([row], np.array([last]), matrices, pulls, shares)
+
+    slices = solved.filter(F.col("features").isNull()).withColumn("_group", F.pmod(F.xxhash64("a"), F.lit(_MERGE_GROUPS)))
+    merged = slices.groupBy("kind", "target", "_group").applyInArrow(lambda table: add_up(table, False), _SOLVED)
+    merged = merged.groupBy("kind", "target").applyInArrow(lambda table: add_up(table, True), _SOLVED)
+    return solved.filter(F.col("features").isNotNull()).unionByName(merged).select("kind", "target", "features")
+
+
+_EMPTY = pa.schema(
+    [("kind", pa.int32()), ("target", pa.int64()), ("mask", pa.int32())] + [(name, pa.list_(pa.float64())) for name in ("features", "a", "b")]
+).empty_table()
+
+
+def _batch(batch: list[tuple], whole: np.ndarray, matrices: list[np.ndarray], pulls: list[np.ndarray], shares: list[Share]) -> pa.Table:
+    """Rows of a batch of targets: solved where ``whole``, else the sums ``a`` and ``b`` to be merged."""
+    keys = [np.array([x[k] for x in batch]) for k in (0, 1, 3)]
+    at = np.flatnonzero(whole)
+    features = np.zeros((len(at), sum(share.size for share in shares)))
+    for share, a, b in zip(shares, matrices, pulls):
+        if len(at):
+            full = a[at] + np.stack([share.shared(int(keys[0][k]), int(keys[2][k])) for k in at])
+            features[:, share.start : share.stop] = np.linalg.solve(full, b[at][:, :, None])[:, :, 0]
+    rest = np.flatnonzero(~whole)
+    sums = np.concatenate([a.reshape(len(a), -1)[rest] for a in matrices], axis=1)
+    right = np.concatenate([b[rest] for b in pulls], axis=1)
+    order = np.concatenate([at, rest])
+    none = lambda n: pa.nulls(n, pa.list_(pa.float64()))
+    return pa.table(
+        {
+            "kind": pa.array(keys[0][order], pa.int32()),
+            "target": pa.array(keys[1][order], pa.int64()),
+            "mask": pa.array(keys[2][order], pa.int32()),
+            "features": pa.concat_arrays([routing.lists(features), none(len(rest))]),
+            "a": pa.concat_arrays([none(len(at)), routing.lists(sums)]),
+            "b": pa.concat_arrays([none(len(at)), routing.lists(right)]),
+        }
     )
 
 
-def _side_name(kind: str = "kind") -> Column:
-    return F.element_at(F.array(*[F.lit(side) for side in SIDES]), F.col(kind) + 1)
+def _side_number() -> Column:
+    return F.array_position(F.array(*[F.lit(side) for side in SIDES]), F.col("side")).cast("int") - 1
 
 
-def update_sides(step: HalfStep, users: DataFrame, n_users: int, config: CMFConfig) -> DataFrame:
-    """All feature factors from fixed user factors: ``side, id, features``; one pass for all four sides."""
-    size = config.factors
-    fixed = gramians(users.select(F.lit("user").alias("side"), "features"), size)["user"]
-    ridge = np.eye(size) * config.regularization
-    base = {number: fixed + ridge * config.weights()[side] for number, side in enumerate(SIDES)}
-    other = users.select(F.lit(0).alias("bit"), F.col("id").alias("other"), "features")
-    solved = solve(step, other, n_users, size, base, by_user=False)
-    return solved.select(_side_name().alias("side"), F.col("target").alias("id"), "features")
+def _side_name(kind: str = "kind") -> Column:
+    return F.element_at(F.array(*[F.lit(side) for side in SIDES]), F.col(kind) + 1)
 
 
-def update_users(step: HalfStep, sides: DataFrame, n_sides: int, config: CMFConfig) -> DataFrame:
-    """User factors from all fixed sides: ``id, features``."""
-    size = config.factors
-    fixed = gramians(sides, size)
-    base = {
-        number: config.weights()[side] * fixed.get(side, np.zeros((size, size))) for number, side in enumerate(SIDES)
-    }
-    base[-1] = np.eye(size) * config.regularization
-    number = F.array_position(F.array(*[F.lit(side) for side in SIDES]), F.col("side")).cast("int") - 1
-    other = sides.select(number.alias("bit"), F.col("id").alias("other"), "features")
-    return solve(step, other, n_sides, size, base, by_user=True).select(F.col("target").alias("id"), "features")
+def _slices(configs: list[CMFConfig]) -> list[tuple[int, int]]:
+    ends = np.cumsum([config.factors for config in configs]).tolist()
+    return [(end - config.factors, end) for end, config in zip(ends, configs)]
 
 
-def loss(entries: DataFrame, users: DataFrame, sides: DataFrame, config: CMFConfig) -> DataFrame:
-    """Weighted squared error over the observed entries plus the ridge term, one row."""
-    weight = F.element_at(
-        F.create_map(*[x for side, w in config.weights().items() for x in (F.lit(side), F.lit(float(w)))]), F.col("side")
+def update_all_sides(parts: Parts, users: DataFrame, configs: list[CMFConfig]) -> DataFrame:
+    """All feature factors of all models from fixed user factors: ``side, id, features``; one pass for all four sides."""
+    spans = _slices(configs)
+    fixed = gramians(users.select(F.lit("user").alias("side"), "features"), spans[-1][1])["user"]
+    shares = []
+    for config, (start, stop) in zip(configs, spans):
+        ridge = np.eye(config.factors) * config.regularization
+        base = {number: fixed[start:stop, start:stop] + ridge * config.weights()[side] for number, side in enumerate(SIDES)}
+        shares.append(Share(start, stop, np.ones(len(SIDES)), base, False))
+    other = users.select(F.lit(0).alias("bit"), F.col("id").alias("other"), "features")
+    return solve(parts, other, shares).select(_side_name().alias("side"), F.col("target").alias("id"), "features")
+
+
+def update_all_users(parts: Parts, sides: DataFrame, configs: list[CMFConfig]) -> DataFrame:
+    """User factors of all models from all fixed sides: ``id, features``."""
+    spans = _slices(configs)
+    fixed = gramians(sides, spans[-1][1])
+    shares = []
+    for config, (start, stop) in zip(configs, spans):
+        weights = np.array([config.weights()[side] for side in SIDES])
+        none = np.zeros((spans[-1][1], spans[-1][1]))
+        base = {number: weights[number] * fixed.get(side, none)[start:stop, start:stop] for number, side in enumerate(SIDES)}
+        base[-1] = np.eye(config.factors) * config.regularization
+        shares.append(Share(start, stop, weights, base, True))
+    other = sides.select(_side_number().alias("bit"), F.col("id").alias("other"), "features")
+    return solve(parts, other, shares).select(F.col("target").alias("id"), "features")
+
+
+def update_sides(parts: Parts, users: DataFrame, config: CMFConfig) -> DataFrame:
+    """The half-step of one model that updates the features."""
+    return update_all_sides(parts, users, [config])
+
+
+def update_users(parts: Parts, sides: DataFrame, config: CMFConfig) -> DataFrame:
+    """The half-step of one model that updates the users."""
+    return update_all_users(parts, sides, [config])
+
+
+def loss_over(parts: Parts, users: DataFrame, sides: DataFrame, config: CMFConfig) -> DataFrame:
+    """The loss from entries laid out by user: side factors and the users' own are sent once per part."""
+    width = config.factors
+    weights = np.array([config.weights()[side] for side in SIDES])
+    others = parts.routed(sides.select(_side_number().alias("bit"), F.col("id").alias("other"), "features"))
+    owners = parts.runs.select("part", F.col("target").alias("id")).distinct().join(users, "id")
+    # slots below zero are the part's own users
+    sent = others.select("part", "slot", "bit", F.lit(None).cast("long").alias("id"), "features").unionByName(
+        owners.select("part", F.lit(-1).alias("slot"), F.lit(0).alias("bit"), "id", "features")
     )
-    left = users.select(F.col("id").alias("u"), F.col("features").alias("_u"))
-    right = sides.select("side", F.col("id").alias("feature"), F.col("features").alias("_f"))
-    error = F.col("p") - vec.dot(F.col("_u").cast("array<double>"), F.col("_f").cast("array<double>"))
-    errors = entries.join(left, "u").join(right, ["side", "feature"]).select((weight * F.col("c") * error * error).alias("x"))
-    both = users.select("features").unionByName(sides.select("features"))
+
+    def run(runs: pa.Table, routed: pa.Table) -> pa.Table:
+        slot = routed.column("slot").to_numpy()
+        own = routed.filter(pa.array(slot < 0))
+        vectors = dict(zip(own.column("id").to_pylist(), routing.matrix(own.column("features"), width)))
+        rows, bits = routing.listed_vectors(routed.filter(pa.array(slot >= 0)), width)
+        total = 0.0
+        for target, slots, c, p in zip(*[runs.column(name).to_pylist() for name in ("target", "slots", "c", "p")]):
+            slots, c, p = routing.run_arrays(slots, c, p)
+            if target in vectors and slots.max() < len(rows):
+                error = p - rows[slots] @ vectors[target]
+                total += float((weights[bits[slots]] * c) @ (error * error))
+        return pa.table({"x": [total]})
+
+    errors = parts.each(sent, run, "x double")
     wide = F.col("features").cast("array<double>")
+    both = users.select("features").unionByName(sides.select("features"))
     ridge = both.select((vec.dot(wide, wide) * config.regularization).alias("x"))
     return errors.unionByName(ridge).agg(F.sum("x").alias("loss"))
 
 
+def loss(entries: DataFrame, users: DataFrame, sides: DataFrame, config: CMFConfig) -> DataFrame:
+    """Weighted squared error over the observed entries plus the ridge term, one row."""
+    return loss_over(lay_out(entries, True), users, sides, config)
+
+
+def fit_many(
+    entries: DataFrame,
+    configs: list[CMFConfig],
+    users: DataFrame | None = None,
+    how: str | None = None,
+    report_loss: bool = False,
+    start: DataFrame | None = None,
+) -> list[Factors]:
+    """Fit several models; those with the same confidence and number of iterations share every pass over the entries."""
+    fitted: dict[int, Factors] = {}
+    groups: dict[tuple, list[int]] = {}
+    for at, config in enumerate(configs):
+        shape = how or ("shifted" if config.use_confidence else "raw")
+        groups.setdefault((config.alpha, shape, config.iterations), []).append(at)
+    for (alpha, shape, iterations), members in groups.items():
+        own = [configs[at] for at in members]
+        weighted = cut_lineage(with_confidence(entries, alpha, shape))
+        ids = (weighted.select(F.col("u").alias("id")) if users is None else users.select("id")).distinct()
+        # a part's vectors stay under some 128 MB
+        room = max(1_000, min(PART_ENTRIES, (128 << 20) // (4 * sum(config.factors for config in own))))
+        by_side, by_user = lay_out(weighted, False, room), lay_out(weighted, True, room)
+        if start is None:
+            first = init_factors(ids, "user", own[0].factors, own[0].random_state)
+            for at, config in enumerate(own[1:], 1):
+                more = init_factors(ids, "user", config.factors, config.random_state).withColumnRenamed("features", f"_{at}")
+                first = first.join(more, "id")
+            first = first.select("id", F.concat("features", *[f"_{at}" for at in range(1, len(own))]).alias("features"))
+        else:
+            first = start.join(ids, "id", "left_semi")
+        current = cut_lineage(first.select("id", "features"))
+        stored = F.col("features").cast("array<float>").alias("features")
+        sides, losses = None, [[] for _ in own]
+        cuts = lambda frame, span: frame.withColumn("features", F.slice("features", span[0] + 1, span[1] - span[0]))
+        for _ in range(iterations):
+            sides = cut_lineage(update_all_sides(by_side, current, own).select("side", "id", stored))
+            current = cut_lineage(update_all_users(by_user, sides, own).select("id", stored))
+            if report_loss:
+                for config, span, seen in zip(own, _slices(own), losses):
+                    seen.append(loss_over(by_user, cuts(current, span), cuts(sides, span), config).first()[0])
+        by_side.discard()
+        by_user.discard()
+        for at, config, span, seen in zip(members, own, _slices(own), losses):
+            one = len(own) == 1
+            fitted[at] = Factors(current if one else cuts(current, span), sides if one else cuts(sides, span), config.factors, seen)
+    return [fitted[at] for at in range(len(configs))]
+
+
 def fit(
     entries: DataFrame,
     config: CMFConfig = CMFConfig(),
@@ -362,23 +413,7 @@ def fit(
     ``entries`` has ``side, u, feature, r``. ``users(id)`` may name users beyond those with entries: they
     take part in the first Gramian like everyone else and end up at zero.
     """
-    how = how or ("shifted" if config.use_confidence else "raw")
-    weighted = cut_lineage(with_confidence(entries, config.alpha, how))
-    ids = (weighted.select(F.col("u").alias("id")) if users is None else users.select("id")).distinct()
-    by_side = lay_out(weighted, False, config.weights())
-    by_user = lay_out(weighted, True, config.weights())
-    n_sides = weighted.select("side", "feature").distinct().count()
-    first = init_factors(ids, "user", config.factors, config.random_state) if start is None else start.join(ids, "id", "left_semi")
-    current = cut_lineage(first.select("id", "features"))
-    n_users = current.count()
-    stored = F.col("features").cast("array<float>").alias("features")
-    sides, losses = None, []
-    for _ in range(config.iterations):
-        sides = cut_lineage(update_sides(by_side, current, n_users, config).select("side", "id", stored))
-        current = cut_lineage(update_users(by_user, sides, n_sides, config).select("id", stored))
-        if report_loss:
-            losses.append(loss(weighted, current, sides, config).first()[0])
-    return Factors(current, sides, config.factors, losses)
+    return fit_many(entries, [config], users, how, report_loss, start)[0]
 
 
 def fit_implicit_als(

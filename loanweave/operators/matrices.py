@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as vec
+from .routing import weighted_sums
 
 
 def user_item_counts(loans: DataFrame) -> DataFrame:
@@ -66,14 +67,15 @@ def user_subject_counts(loans: DataFrame, cleaned: DataFrame, vocabulary: DataFr
 
 
 def user_embeddings(loans: DataFrame, embeddings: DataFrame, dim: int, how: str = "mean") -> DataFrame:
-    """Mean or sum of the vectors of all borrowed items; repeats count, unmatched items count as zeros."""
+    """Mean or sum of the vectors of all borrowed items; repeats count, unmatched items count as zeros.
+
+    Users are summed in parts that get each item's vector once, so no vector travels per loan.
+    """
     pairs = user_item_counts(loans)
     totals = pairs.groupBy("u").agg(F.sum("r").alias("loans"))
-    sums = (
-        pairs.join(embeddings.select("i", "embedding"), "i")
-        .groupBy("u")
-        .agg(vec.vector_sum(F.col("embedding"), F.col("r")).alias("total"))
-    )
+    entries = pairs.select(F.col("u").alias("target"), F.col("i").alias("other"), F.col("r").alias("weight"))
+    vectors = embeddings.select(F.col("i").alias("other"), F.col("embedding").alias("features"))
+    sums = weighted_sums(entries, vectors, dim).withColumnRenamed("target", "u")
     total = F.coalesce("total", vec.zeros(dim))
     value = total if how == "sum" else vec.scale(total, 1 / F.col("loans"))
     return totals.join(sums, "u", "left").select("u", value.alias("embedding"))

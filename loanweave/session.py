@@ -66,6 +66,12 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete files that a job wrote below the checkpoint folder and needs no more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def task_slots(spark: SparkSession) -> int:
     """Cores of the cluster: the least task count for numpy-heavy stages, whose byte size says little."""
     return max(2, spark.sparkContext.defaultParallelism)

@@ -63,20 +63,19 @@ def shifted(r):
     return 1 + CONFIG.alpha * r
 
 
-@pytest.mark.parametrize("part_entries,broadcast", [(10**6, 1 << 26), (2, 1 << 26), (2, 0), (10**6, 0)])
-def test_half_steps(spark, data, monkeypatch, part_entries, broadcast):
-    monkeypatch.setattr(cmf, "BROADCAST_BYTES", broadcast)
+@pytest.mark.parametrize("part_entries", [10**6, 2])
+def test_half_steps(spark, data, part_entries):
     entries, matrices, user_factors, side_factors, users, sides = data
     weighted = cmf.with_confidence(entries, CONFIG.alpha)
-    step = cmf.lay_out(weighted, False, CONFIG.weights(), part_entries)
+    step = cmf.lay_out(weighted, False, part_entries)
     assert step.split_targets == (part_entries == 2)
-    found = {(r.side, r.id): r.features for r in cmf.update_sides(step, users, 12, CONFIG).collect()}
+    found = {(r.side, r.id): r.features for r in cmf.update_sides(step, users, CONFIG).collect()}
     for side, weight in CONFIG.weights().items():
         wanted = side_update(matrices[side], user_factors, weight, shifted)
         for f in range(SIZES[side]):
             assert np.allclose(found.get((side, f), np.zeros(4)), wanted[f], atol=1e-9)
-    step = cmf.lay_out(weighted, True, CONFIG.weights(), part_entries)
-    solved = {r.id: r.features for r in cmf.update_users(step, sides, 22, CONFIG).collect()}
+    step = cmf.lay_out(weighted, True, part_entries)
+    solved = {r.id: r.features for r in cmf.update_users(step, sides, CONFIG).collect()}
     wanted = user_update(matrices, side_factors, CONFIG.weights(), shifted)
     assert 3 not in solved
     for u in range(12):
@@ -168,3 +167,24 @@ def test_optional_sides(spark, data):
     entries = data[0].filter(F.col("side") == "item")
     fitted = cmf.fit(entries, CONFIG)
     assert {r.side for r in fitted.sides.select("side").distinct().collect()} == {"item"}
+
+
+def test_models_share_passes(spark, data):
+    """Several models fitted in one pass equal the same models fitted alone, losses included."""
+    configs = [cmf.CMFConfig(factors=n, iterations=2, alpha=3.0, regularization=reg, random_state=n) for n, reg in ((4, 0.1), (3, 0.3))]
+    configs.append(cmf.CMFConfig(factors=2, iterations=1, alpha=5.0))
+    together = cmf.fit_many(data[0], configs, report_loss=True)
+    for config, found in zip(configs, together):
+        alone = cmf.fit(data[0], config, report_loss=True)
+        rows = lambda frame, *keys: sorted((*[r[k] for k in keys], tuple(np.round(r.features, 4))) for r in frame.collect())
+        assert rows(found.users, "id") == rows(alone.users, "id")
+        assert rows(found.sides, "side", "id") == rows(alone.sides, "side", "id")
+        assert np.allclose(found.losses, alone.losses, rtol=1e-5)
+
+
+def test_no_exchange_carries_a_vector_per_entry(spark, data):
+    """Vectors leave the routing join once per part that lists them."""
+    entries = data[0]
+    parts = cmf.lay_out(cmf.with_confidence(entries, 3.0), False)
+    sent = parts.routed(data[4].select(F.lit(0).alias("bit"), F.col("id").alias("other"), "features"))
+    assert sent.count() == sent.select("part", "slot").distinct().count() < entries.count()
