@@ -1,8 +1,8 @@
 """Blocked products of sparse matrices and of factor tables, reduced to top-k lists inside each block.
 
 Rows and columns are hashed to blocks that hold at most ``BLOCK_ENTRIES`` entries on average. One task
-holds one row block and one column block and walks over slices of its rows, so no pair of ids is emitted
-unless its score is asked for, and memory does not depend on how many pairs there are. A row or column
+holds one row block and one column block and walks over slices of its rows, adding up the cells that have
+entries, so no pair of ids is emitted unless its score is asked for, and memory does not depend on how many pairs there are. A row or column
 that alone exceeds the limit is cut along the shared axis and its partial sums are added up.
 """
 
@@ -49,8 +49,18 @@ def _every(blocks: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
 
-def sparse_tiles(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Product of two entry lists ``id, mid, value``, as (row ids, column ids, dense scores) row slice by row slice."""
+def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places ``starts[k] .. starts[k] + counts[k] - 1`` of every k, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+
+
+def sparse_rows(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple]:
+    """Product of two entry lists ``id, mid, value`` by row slices: row ids, all column ids, and the non-zero cells.
+
+    The cells of a slice are given as ``ends`` per row, column places in order, and scores. A row that meets many entries
+    is summed over all columns, others are sorted together, so the work follows the entries met and not the columns.
+    """
     rows, row_at = np.unique(left["id"].to_numpy(), return_inverse=True)
     cols, col_at = np.unique(right["id"].to_numpy(), return_inverse=True)
     order = np.argsort(right["mid"].to_numpy(), kind="stable")
@@ -61,22 +71,46 @@ def sparse_tiles(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.n
     left_mid, left_value = left["mid"].to_numpy()[by_row], left["value"].to_numpy()[by_row]
     low = np.searchsorted(right_mid, left_mid, "left")
     count = np.searchsorted(right_mid, left_mid, "right") - low
-    ends = np.cumsum(count)
-    step = max(1, _SLICE_CELLS // len(cols))
-    for top in range(0, len(rows), step):
-        size = min(step, len(rows) - top)
-        tile = np.zeros(size * len(cols))
-        start, last = np.searchsorted(row_at, [top, top + size])
-        while start < last:
-            done = ends[start - 1] if start else 0
-            stop = min(last, max(start + 1, int(np.searchsorted(ends, done + _SLICE_PAIRS, "right"))))
-            width = count[start:stop]
-            source = np.repeat(np.arange(start, stop), width)
-            target = low[source] + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
-            cell = (row_at[source] - top) * len(cols) + col_at[target]
-            np.add.at(tile, cell, left_value[source] * right_value[target])
-            start = stop
-        yield rows[top : top + size], cols, tile.reshape(size, len(cols))
+    first = np.searchsorted(row_at, np.arange(len(rows) + 1))
+    work = np.concatenate([[0], np.cumsum(count)])
+    row_work = work[first]
+
+    def met(start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+        target = expand(low[start:stop], count[start:stop])
+        return col_at[target], np.repeat(left_value[start:stop], count[start:stop]) * right_value[target]
+
+    top = 0
+    while top < len(rows):
+        bottom = max(top + 1, int(np.searchsorted(row_work, row_work[top] + _SLICE_PAIRS, "right")) - 1)
+        # sums over all columns of this many rows stay within the cell limit
+        bottom = min(bottom, len(rows), top + max(1, _SLICE_CELLS // len(cols)) if row_work[bottom] - row_work[top] > _SLICE_PAIRS // 4 else len(rows))
+        size, pairs = bottom - top, row_work[bottom] - row_work[top]
+        if pairs * 8 >= size * len(cols):
+            ends, places, scores = [], [], []
+            for row in range(top, bottom):
+                total, start = np.zeros(len(cols)), int(first[row])
+                while start < first[row + 1]:
+                    stop = max(start + 1, int(np.searchsorted(work, work[start] + _SLICE_PAIRS, "right")) - 1)
+                    stop = min(stop, int(first[row + 1]))
+                    col, value = met(start, stop)
+                    total += np.bincount(col, value, len(cols))
+                    start = stop
+                place = np.flatnonzero(total)
+                places.append(place)
+                scores.append(total[place])
+                ends.append(len(place))
+            yield rows[top:bottom], cols, np.cumsum(ends), np.concatenate(places), np.concatenate(scores)
+        else:
+            col, value = met(int(first[top]), int(first[bottom]))
+            row = np.repeat(row_at[first[top] : first[bottom]] - top, count[first[top] : first[bottom]])
+            key = row * len(cols) + col
+            order = np.argsort(key, kind="stable")
+            key, begins = np.unique(key[order], return_index=True)
+            score = np.add.reduceat(value[order], begins) if len(key) else value
+            key, score = key[score != 0], score[score != 0]
+            ends = np.searchsorted(key, np.arange(1, size + 1) * len(cols))
+            yield rows[top:bottom], cols, ends, key % len(cols), score
+        top = bottom
 
 
 def dense_tiles(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -120,34 +154,33 @@ def best_of_tile(
     return _frame(rows[at[0]], cols[at[1]], tile[at])
 
 
+def _sums(rows: np.ndarray, total: np.ndarray, squares: np.ndarray) -> pd.DataFrame:
+    none = pd.array([pd.NA] * len(rows), dtype="Int64")
+    return pd.DataFrame({"row_id": rows, "col_id": none, "score": np.nan, "total": total, "squares": squares})
+
+
 def _moments(rows: np.ndarray, tile: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "row_id": rows,
-            "col_id": pd.array([pd.NA] * len(rows), dtype="Int64"),
-            "score": np.nan,
-            "total": tile.sum(axis=1),
-            "squares": (tile * tile).sum(axis=1),
-        }
-    )
+    return _sums(rows, tile.sum(axis=1), (tile * tile).sum(axis=1))
+
 
+def _parts(group: pd.DataFrame, ask: bool):
+    """The two sides of a block pair and the marked cells in order of their row."""
+    side = group["side"].to_numpy()
+    pairs = group[side == (_ASK if ask else _SKIP)].sort_values("id")
+    return group[side == _LEFT], group[side == _RIGHT], pairs["id"].to_numpy(), pairs["mid"].to_numpy()
 
-def _kernel(tiles, k: int | None, digits: int, above: float | None, moments: bool, ask: bool, drop_self: bool):
-    """Function over one block pair: its parts by ``side`` in, the wanted rows out."""
+
+def _dense_kernel(k: int | None, digits: int, above: float | None, moments: bool, ask: bool):
+    """Function over one block pair of vectors: its parts by ``side`` in, the wanted rows out."""
 
     def report(group: pd.DataFrame) -> pd.DataFrame:
-        side = group["side"].to_numpy()
-        left, right = group[side == _LEFT], group[side == _RIGHT]
-        pairs = group[side == (_ASK if ask else _SKIP)].sort_values("id")
-        pair_row, pair_col = pairs["id"].to_numpy(), pairs["mid"].to_numpy()
-        if not len(left) or not len(right) or (ask and not len(pairs)):
+        left, right, pair_row, pair_col = _parts(group, ask)
+        if not len(left) or not len(right) or (ask and not len(pair_row)):
             return _frame([], [], [])
         found = []
-        for rows, cols, tile in tiles(left, right):
+        for rows, cols, tile in dense_tiles(left, right):
             here = slice(*np.searchsorted(pair_row, [rows[0], rows[-1] + 1]))
             marked = _cells(rows, cols, pair_row[here], pair_col[here])
-            if drop_self:
-                tile[_cells(rows, cols, rows, rows)] = 0.0
             if ask:
                 found.append(_frame(rows[marked[0]], cols[marked[1]], tile[marked]))
                 continue
@@ -163,6 +196,61 @@ def _kernel(tiles, k: int | None, digits: int, above: float | None, moments: boo
     return report
 
 
+def best_of_row(place: np.ndarray, shown: np.ndarray, k: int) -> np.ndarray:
+    """Which of a row's cells, in column order, are among its best ``k``."""
+    if len(place) <= k:
+        return np.ones(len(place), bool)
+    edge = np.partition(shown, len(shown) - k)[len(shown) - k]
+    better, level = shown > edge, shown == edge
+    return better | (level & (np.cumsum(level) <= k - better.sum()))
+
+
+def _sparse_kernel(k: int | None, digits: int, above: float | None, moments: bool, ask: bool, drop_self: bool):
+    """The same over one block pair of entries."""
+
+    def report(group: pd.DataFrame) -> pd.DataFrame:
+        left, right, pair_row, pair_col = _parts(group, ask)
+        if not len(left) or not len(right) or (ask and not len(pair_row)):
+            return _frame([], [], [])
+        found = []
+        for rows, cols, ends, place, score in sparse_rows(left, right):
+            starts = np.append(0, ends[:-1])
+            row = np.repeat(np.arange(len(rows)), ends - starts)
+            here = slice(*np.searchsorted(pair_row, [rows[0], rows[-1] + 1]))
+            marked = np.sort(np.ravel_multi_index(_cells(rows, cols, pair_row[here], pair_col[here]), (len(rows), len(cols))))
+            hit = np.zeros(len(place), bool)
+            if len(marked) and len(place):
+                key = row * len(cols) + place
+                at = np.minimum(np.searchsorted(marked, key), len(marked) - 1)
+                hit = marked[at] == key
+            if ask:
+                found.append(_frame(rows[row[hit]], cols[place[hit]], score[hit]))
+                continue
+            kept = ~hit
+            if drop_self:
+                kept &= cols[place] != rows[row]
+            if moments:
+                sums = [np.bincount(row[kept], values[kept], len(rows)) for values in (score, score * score)]
+            shown = np.round(score, digits)
+            if above is not None:
+                kept &= shown > above
+            row, place, score, shown = row[kept], place[kept], score[kept], shown[kept]
+            if k is not None:
+                cut = np.searchsorted(row, np.arange(len(rows) + 1))
+                sizes = np.diff(cut)
+                best = np.ones(len(row), bool)
+                for r in np.flatnonzero(sizes > k):
+                    own = slice(cut[r], cut[r + 1])
+                    best[own] = best_of_row(place[own], shown[own], k)
+                row, place, score = row[best], place[best], score[best]
+            found.append(_frame(rows[row], cols[place], score))
+            if moments:
+                found.append(_sums(rows, *sums))
+        return pd.concat(found, ignore_index=True)
+
+    return report
+
+
 def _run(parts: DataFrame, kernel, tasks: int, slots: int) -> DataFrame:
     keys = ["a", "b", "c"]
     return parts.repartition(max(slots, tasks), *keys).groupBy(*keys).applyInPandas(kernel, _OUT)
@@ -231,14 +319,14 @@ def sparse_product(
 ) -> DataFrame:
     """Product of ``left(row_id, mid, value)`` and ``right(mid, col_id, value)``.
 
-    With ``k``: the best ``k`` columns per row as ``row_id, col_id, score, rank``. With ``moments`` also one
+    With ``k``: the best ``k`` non-zero columns per row as ``row_id, col_id, score, rank``. With ``moments`` also one
     row per ``row_id`` with null ``col_id`` holding the sum and the sum of squares of its scores. With
     ``ask(row_id, col_id)``: only the scores of those cells (zero cells are absent). With neither: all
     non-zero cells. ``above`` keeps only larger scores, ``drop_self`` treats cells with equal ids as zero.
     """
     sizes = _sizes(left, "row_id"), _sizes(right, "col_id")
     asked = ask is not None
-    kernel = _kernel(sparse_tiles, k, digits, above, moments, asked, drop_self)
+    kernel = _sparse_kernel(k, digits, above, moments, asked, drop_self)
     largest = max(sizes[0].largest or 0, sizes[1].largest or 0)
     if largest <= limit:
         out, summed = _sparse_blocks(left, right, sizes, 1, ask, _ASK, kernel), None
@@ -247,7 +335,7 @@ def sparse_product(
         some_left = left.join(hot_rows, "row_id", "left_anti")
         some_right = right.join(hot_cols, "col_id", "left_anti")
         out = _sparse_blocks(some_left, some_right, sizes, 1, ask, _ASK, kernel)
-        every_cell = _kernel(sparse_tiles, None, digits, None, False, False, drop_self)
+        every_cell = _sparse_kernel(None, digits, None, False, False, drop_self)
         chunks = math.ceil(largest / limit)
         summed = (
             _sparse_blocks(left.join(hot_rows, "row_id", "left_semi"), right, sizes, chunks, None, _ASK, every_cell)
@@ -343,7 +431,7 @@ def dense_product(
         if pairs is not None:
             parts = parts.unionByName(_pair_part(pairs, side, across, down).withColumn("features", nothing))
     asked = ask is not None
-    out = _run(parts, _kernel(dense_tiles, k, digits, above, moments, asked, False), across * down, slots)
+    out = _run(parts, _dense_kernel(k, digits, above, moments, asked), across * down, slots)
     if asked or k is None:
         return out.select("row_id", "col_id", "score")
     return _finish(out, None, k, above, moments, digits)
