@@ -22,23 +22,30 @@ BLOCK_ENTRIES = 4_000_000
 _SLICE_PAIRS = 1 << 21
 _SLICE_CELLS = 1 << 22
 _LEFT, _RIGHT, _SKIP, _ASK = 0, 1, 2, 3
-_OUT = "row_id long, col_id long, score double, total double, squares double"
+_OUT = "row_id long, col_id long, score double, total double, squares double, rank int"
 
 
-def grid(rows: int, cols: int, row_entries: int, col_entries: int, slots: int) -> tuple[int, int]:
-    """Row and column blocks: enough for the entry limit and for every core.
+def grid(rows: int, cols: int, row_entries: int, col_entries: int, slots: int, listed: int = 0) -> tuple[int, int]:
+    """Row and column blocks: enough for the entry limit and for every core, with the least rows on the move.
 
-    Every row entry is copied once per column block and the other way round, so the side with more
-    entries is the one cut into more blocks.
+    Every row entry is copied once per column block and the other way round. The ``listed`` results of a row come once per
+    column block too, and are shuffled once more unless there is only one.
     """
     rows, cols = max(rows, 1), max(cols, 1)
-    least_across = math.ceil(max(row_entries, 1) / BLOCK_ENTRIES)
-    least_down = math.ceil(max(col_entries, 1) / BLOCK_ENTRIES)
+    least_across = min(rows, math.ceil(max(row_entries, 1) / BLOCK_ENTRIES))
+    least_down = min(cols, math.ceil(max(col_entries, 1) / BLOCK_ENTRIES))
     tiles = max(slots, least_across * least_down)
-    across = max(least_across, round(math.sqrt(tiles * max(row_entries, 1) / max(col_entries, 1))))
-    across = min(across, rows)
-    down = min(max(least_down, math.ceil(tiles / across)), cols)
-    return min(max(across, math.ceil(slots / down)), rows), down
+    choices = []
+    down = least_down
+    while True:
+        across = min(rows, max(least_across, math.ceil(tiles / down)))
+        results = rows * listed * down
+        moved = row_entries * down + col_entries * across + results + (results if down > 1 else 0)
+        if across * down >= min(tiles, rows * cols):
+            choices.append((moved, across, down))
+        if down == cols:
+            return min(choices)[1:]
+        down = min(cols, 2 * down)
 
 
 def _block(column: str, blocks: int) -> Column:
@@ -105,8 +112,9 @@ def sparse_rows(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple]:
             row = np.repeat(row_at[first[top] : first[bottom]] - top, count[first[top] : first[bottom]])
             key = row * len(cols) + col
             order = np.argsort(key, kind="stable")
-            key, begins = np.unique(key[order], return_index=True)
-            score = np.add.reduceat(value[order], begins) if len(key) else value
+            key = key[order]
+            begins = np.flatnonzero(np.diff(key, prepend=-1))
+            key, score = key[begins], np.add.reduceat(value[order], begins) if len(key) else value
             key, score = key[score != 0], score[score != 0]
             ends = np.searchsorted(key, np.arange(1, size + 1) * len(cols))
             yield rows[top:bottom], cols, ends, key % len(cols), score
@@ -251,9 +259,30 @@ def _sparse_kernel(k: int | None, digits: int, above: float | None, moments: boo
     return report
 
 
-def _run(parts: DataFrame, kernel, tasks: int, slots: int) -> DataFrame:
-    keys = ["a", "b", "c"]
-    return parts.repartition(max(slots, tasks), *keys).groupBy(*keys).applyInPandas(kernel, _OUT)
+def _run(parts: DataFrame, kernel, shape: tuple[int, int, int], digits: int) -> DataFrame:
+    """``kernel`` over every tile ``a, b, c`` of the given shape; each tile is dealt to a partition of its own."""
+    _, down, chunks = shape
+    tile = ((F.col("a") * down + F.col("b")) * chunks + F.col("c")).cast("int")
+
+    def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [batch for batch in batches if len(batch)]
+        if held:
+            yield with_rank(kernel(pd.concat(held, ignore_index=True)), digits)
+
+    return parts.repartitionById(math.prod(shape), tile).mapInPandas(report, _OUT)
+
+
+def with_rank(found: pd.DataFrame, digits: int) -> pd.DataFrame:
+    """Number the cells of each row by rounded score, then column; rows without a column get none."""
+    cells = found["col_id"].notna().to_numpy()
+    row, col = found["row_id"].to_numpy()[cells], found["col_id"].to_numpy()[cells].astype(np.int64)
+    order = np.lexsort((col, -np.round(found["score"].to_numpy()[cells], digits), row))
+    row = row[order]
+    places = np.empty(len(row), np.int64)
+    places[order] = np.arange(len(row)) - np.searchsorted(row, row, "left") + 1
+    ranks = np.full(len(found), -1)
+    ranks[cells] = places
+    return found.assign(rank=pd.array(np.where(cells, ranks, 0), dtype="Int32"))
 
 
 def _merge(found: DataFrame, k: int, digits: int) -> DataFrame:
@@ -282,9 +311,12 @@ def _pair_part(pairs: DataFrame, side: int, row_blocks: int, col_blocks: int) ->
     )
 
 
-def _sparse_blocks(left: DataFrame, right: DataFrame, sizes, chunks: int, pairs, side: int, kernel) -> DataFrame:
+def _sparse_blocks(
+    left: DataFrame, right: DataFrame, sizes, chunks: int, pairs, side: int, kernel, k: int | None, digits: int
+) -> tuple[DataFrame, bool]:
+    """The wanted rows of all tiles, and whether every row lies in one tile."""
     slots = task_slots(left.sparkSession)
-    across, down = grid(sizes[0].ids, sizes[1].ids, sizes[0].entries or 0, sizes[1].entries or 0, slots)
+    across, down = grid(sizes[0].ids, sizes[1].ids, sizes[0].entries or 0, sizes[1].entries or 0, slots, k or 0)
     parts = (
         _part(left, _LEFT, "row_id", "mid", F.col("value"))
         .withColumn("a", _block("id", across))
@@ -298,7 +330,7 @@ def _sparse_blocks(left: DataFrame, right: DataFrame, sizes, chunks: int, pairs,
     )
     if pairs is not None:
         parts = parts.unionByName(_pair_part(pairs, side, across, down).withColumn("value", F.lit(0.0)))
-    return _run(parts, kernel, across * down * chunks, slots)
+    return _run(parts, kernel, (across, down, chunks), digits), down * chunks == 1
 
 
 def _heavy(frame: DataFrame, key: str, limit: int) -> DataFrame:
@@ -329,18 +361,18 @@ def sparse_product(
     kernel = _sparse_kernel(k, digits, above, moments, asked, drop_self)
     largest = max(sizes[0].largest or 0, sizes[1].largest or 0)
     if largest <= limit:
-        out, summed = _sparse_blocks(left, right, sizes, 1, ask, _ASK, kernel), None
+        (out, whole), summed = _sparse_blocks(left, right, sizes, 1, ask, _ASK, kernel, k, digits), None
     else:
         hot_rows, hot_cols = _heavy(left, "row_id", limit), _heavy(right, "col_id", limit)
         some_left = left.join(hot_rows, "row_id", "left_anti")
         some_right = right.join(hot_cols, "col_id", "left_anti")
-        out = _sparse_blocks(some_left, some_right, sizes, 1, ask, _ASK, kernel)
+        out, whole = _sparse_blocks(some_left, some_right, sizes, 1, ask, _ASK, kernel, k, digits)
         every_cell = _sparse_kernel(None, digits, None, False, False, drop_self)
         chunks = math.ceil(largest / limit)
         summed = (
-            _sparse_blocks(left.join(hot_rows, "row_id", "left_semi"), right, sizes, chunks, None, _ASK, every_cell)
+            _sparse_blocks(left.join(hot_rows, "row_id", "left_semi"), right, sizes, chunks, None, _ASK, every_cell, None, digits)[0]
             .unionByName(
-                _sparse_blocks(some_left, right.join(hot_cols, "col_id", "left_semi"), sizes, chunks, None, _ASK, every_cell)
+                _sparse_blocks(some_left, right.join(hot_cols, "col_id", "left_semi"), sizes, chunks, None, _ASK, every_cell, None, digits)[0]
             )
             .groupBy("row_id", "col_id")
             .agg(F.sum("score").alias("score"))
@@ -352,19 +384,20 @@ def sparse_product(
         cells = out.select(*columns) if summed is None else out.select(*columns).unionByName(summed)
         bound = F.col("score") != 0 if above is None else F.round("score", digits) > above
         return cells.filter(bound)
-    return _finish(out, summed, k, above, moments, digits)
+    return _finish(out, summed, k, above, moments, digits, whole)
 
 
-def _finish(out: DataFrame, summed: DataFrame | None, k: int, above, moments: bool, digits: int) -> DataFrame:
+def _finish(out: DataFrame, summed: DataFrame | None, k: int, above, moments: bool, digits: int, whole: bool) -> DataFrame:
+    """The best ``k`` over all tiles; tiles that hold whole rows have ranked them already."""
     if moments:
         out = cut_lineage(out)
         summed = None if summed is None else cut_lineage(summed)
-    scored = out.filter(F.col("col_id").isNotNull()).select("row_id", "col_id", "score")
+    scored = out.filter(F.col("col_id").isNotNull()).select("row_id", "col_id", "score", "rank")
     if summed is not None:
-        scored = scored.unionByName(summed)
+        scored = scored.unionByName(summed, allowMissingColumns=True)
     if above is not None:
         scored = scored.filter(F.round("score", digits) > above)
-    best = _merge(scored, k, digits)
+    best = scored if whole and summed is None else _merge(scored.drop("rank"), k, digits)
     if not moments:
         return best
     sums = out.filter(F.col("col_id").isNull()).select("row_id", "total", "squares")
@@ -413,7 +446,7 @@ def dense_product(
     width = cols.select(F.size("features").alias("n")).first()
     width = width.n if width else 1
     n_rows, n_cols = rows.count(), cols.count()
-    across, down = grid(n_rows, n_cols, n_rows * width, n_cols * width, slots)
+    across, down = grid(n_rows, n_cols, n_rows * width, n_cols * width, slots, k or 0)
 
     def part(frame: DataFrame, side: int, own: str) -> DataFrame:
         return frame.select(
@@ -431,10 +464,10 @@ def dense_product(
         if pairs is not None:
             parts = parts.unionByName(_pair_part(pairs, side, across, down).withColumn("features", nothing))
     asked = ask is not None
-    out = _run(parts, _dense_kernel(k, digits, above, moments, asked), across * down, slots)
+    out = _run(parts, _dense_kernel(k, digits, above, moments, asked), (across, down, 1), digits)
     if asked or k is None:
         return out.select("row_id", "col_id", "score")
-    return _finish(out, None, k, above, moments, digits)
+    return _finish(out, None, k, above, moments, digits, down == 1)
 
 
 def split_moments(found: DataFrame) -> tuple[DataFrame, DataFrame]:
