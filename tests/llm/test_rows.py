@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -107,6 +108,81 @@ def test_random_keys_of_letters_are_found(spark):
     assert share[16] > 0.85 and share[20] > 0.95 and share[24] > 0.97
 
 
+LONG_RUNS = {
+    "path": "/".join(["ab"] * 66_000) + "/1x",
+    "slug": "-".join(["word", "Two", "7"] * 20_000) + "-x",
+    "humps": "Abc" * 66_000 + "1",
+    "groups": "-".join(["AB12"] * 40_000),
+    "base62": "".join(np.random.default_rng(3).choice(list("abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"), 200_000)),
+    "hits": " ".join(["token=abc12345x"] * 8_000),
+}
+
+
+@pytest.mark.parametrize("name", list(LONG_RUNS))
+def test_long_runs(spark, name):
+    """Long runs neither end the job nor take a time that grows with the square of their length."""
+    text = LONG_RUNS[name]
+    rows = spark.createDataFrame([(1, text, "mine")], "doc_id long, text string, _spans string").repartition(1)
+    start = time.perf_counter()
+    found = [tuple(x) for x in secret_scans.scan(rows, into="found").select("found").first()[0]]
+    base = [x for x in found if x[1] < 3]
+    assert base == brute_spans(text)
+    clean = secret_scans.redact(secret_scans.scan(rows, into="found"), spans="found").first()
+    took = time.perf_counter() - start
+    print(name, round(took, 1))
+    assert clean["_spans"] == "mine"
+    at, out = 0, []
+    for begin, _, end in found:
+        if begin >= at:
+            out += [text[at:begin], "[SECRET]"]
+        at = max(at, end)
+    assert clean["text"] == "".join(out) + text[at:]
+    assert any(x[1] == 3 for x in found) == (name == "base62")
+    assert took < 30
+
+
+def brute_is_random(candidate):
+    """The decision over a candidate, written with plain string work and Python's own pattern matcher."""
+    rest = re.sub(secret_scans.SAMPLES, "", candidate)
+    for pattern in secret_scans.ALLOW[:2]:
+        if re.search(pattern, candidate) or re.search(pattern, rest):
+            return False
+
+    def humps(word):
+        """Lower-case start, capitalized words, up to four capitals."""
+        word = word.lstrip("abcdefghijklmnopqrstuvwxyz")
+        while m := re.match("[A-Z][a-z]{2,}|[A-Z][a-z](?=[A-Z][a-z]{2})", word):
+            word = word[m.end() :]
+        return re.fullmatch("[A-Z]{0,4}", word) is not None
+
+    def plain(run):
+        parts = re.split("[/_-]", run.removeprefix("/"))
+        sizes = {len(p) for p in parts}
+        least = {4: 4, 5: 3, 6: 3, 7: 3, 8: 2}
+        keyed = re.fullmatch("[A-Z0-9-]+", run) and len(sizes) == 1 and len(parts) >= least.get(sizes.pop(), 10**9) and re.search("[A-Z]", run) and re.search("[0-9]", run)
+        words = all(re.fullmatch("[A-Z]+|[A-Z][a-z]*|[0-9]+", p) or humps(p) for p in parts)
+        return len(parts) > 1 and words and not keyed
+
+    if plain(candidate) or plain(rest):
+        return False
+    letters = [x for x in re.findall("[A-Za-z]+", rest) if len(x) >= 16 and not humps(x) and x != x.lower() and x != x.upper()]
+    if not (re.search("[0-9]", rest) and re.search("[A-Za-z]", rest) or letters):
+        return False
+    least = next((bits for _, pattern, bits in secret_scans.CLASSES if re.search(pattern, rest)), None)
+    w = secret_scans.WINDOW
+    return least is not None and max((entropy(rest[i : i + w]) for i in range(len(rest) - w + 1)), default=0.0) >= least - 1e-9
+
+
+def test_decisions_against_brute_force(spark):
+    rng = np.random.default_rng(9)
+    words = ["path", "Some", "getName", "HTTP", "2024", "a1b2", "kQzRwTbXpLmNvHsJdGyF", "AB12", "ZZZZ9", "example", "xxxx", "In", "The", "", "Zk3vQ9xT1mB7pL5w", "deadbeef01", "MiXeDCaSe"]
+    runs = ["".join(rng.choice(list("/_-+"), 1)[0] + rng.choice(words) for _ in range(rng.integers(2, 8)))[1:] for _ in range(1500)]
+    runs = sorted({r for r in runs if re.fullmatch(r"[A-Za-z0-9+/_-]{16,}", r)})
+    got = spark.createDataFrame([(r,) for r in runs], "t string").select("t", secret_scans.is_random(F.col("t")).alias("hit")).collect()
+    assert [(r["t"], r["hit"]) for r in got if r["hit"] != brute_is_random(r["t"])] == []
+    assert 50 < sum(r["hit"] for r in got) < len(got) - 50
+
+
 def test_window_entropy(spark):
     texts = ["abcdabcdabcdabcd1", "a1b2c3d4e5f6g7h8i9", "aaaaaaaaaaaaaaaaaaaa", "ab" * 20 + "qwertyuiop123456"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", secret_scans._window_bits(F.col("t")).alias("bits"))
