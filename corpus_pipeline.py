@@ -35,7 +35,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found is replaced by a mark; documents stay, and n_chars follows the text."""
-    clean = secret_scans.redact(secret_scans.scan(docs))
+    spans = "_spans"
+    while spans in docs.columns:
+        spans += "_"
+    clean = secret_scans.redact(secret_scans.scan(docs, into=spans), spans=spans)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         clean = clean.withColumn("n_chars", F.length("text").cast(kind))
