@@ -2,8 +2,8 @@
 
 Texts are split into words by Spark. Tasks number the distinct words of a block of documents (about ``BLOCK_CHARS``
 characters) and write every document as places in that numbering, so a word crosses the network once per block and not
-once per occurrence. The distinct words of all blocks form one table; each word is encoded once, its ids are joined with
-the table of pieces, and ids and bytes return to the blocks by a join on the word. A block then lays them out by place.
+once per occurrence. The distinct words of all blocks form one table, dealt and sorted by word; each distinct word is
+encoded once, and its ids return to the blocks by place. A block lays them out and joins ids with the table of pieces.
 
 A null text is empty and has no ids; an empty text decodes to an empty text; repeated rows and equal or null doc_ids
 each give their own row (no join uses doc_id); a text of any length is one row of one block, never cut; an empty table
@@ -84,17 +84,27 @@ def words_of(text: Column, special: list[str]) -> Column:
     return F.when(text.rlike(pattern), F.flatten(F.transform(F.split(text, pattern, -1), with_mark))).otherwise(plain(text))
 
 
-def pieces(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
-    """id and piece of every token; a piece is a string whose characters up to U+00FF stand for its bytes."""
+@lru_cache(maxsize=2)
+def _spellings(vocabulary: Vocabulary) -> list[tuple[int, bytes]]:
+    """Id and bytes of every token, in order of the ids."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     # fixed values: bytes that do not print are shown as the characters from U+0100 on
     hidden = [b for b in range(256) if b not in set(printable)]
     shown = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(hidden)}
-    rows = []
+    found = []
     for token, number in _tokenizer(vocabulary).get_vocab(with_added_tokens=True).items():
-        plain = all(c in shown for c in token)
-        data = bytes(shown[c] for c in token) if plain else token.encode()
-        rows.append((number, data.decode("latin-1")))
+        found.append((number, bytes(shown[c] for c in token) if all(c in shown for c in token) else token.encode()))
+    return sorted(found)
+
+
+def _width(vocabulary: Vocabulary) -> str:
+    """The least unsigned type that holds every id of the vocabulary."""
+    return "<u2" if _spellings(vocabulary)[-1][0] < 1 << 16 else "<u4"
+
+
+def pieces(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
+    """id and piece of every token; a piece is a string whose characters up to U+00FF stand for its bytes."""
+    rows = [(number, data.decode("latin-1")) for number, data in _spellings(vocabulary)]
     return spark.createDataFrame(rows, "id int, piece string")
 
 
@@ -124,17 +134,30 @@ def decode(sequences: DataFrame, vocabulary: Vocabulary | None = None) -> DataFr
     return with_text.withColumn("decoded", F.coalesce("decoded", F.lit(""))).drop("_row")
 
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``ids`` of every row of ``words`` (word: string), each by itself."""
+def encode_places(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """block, place and ``ids`` (binary: numbers of ``_width`` bytes) of every row of ``words`` (block, place, word).
+
+    Rows are dealt by word and sorted, so equal words follow each other and each distinct word is encoded once; a word
+    crosses the network once per block, its ids once on the way back.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(vocabulary)
+        tokenizer, width = _tokenizer(vocabulary), _width(vocabulary)
+        last, last_ids = None, b""
         for batch in batches:
-            texts = batch.column("word").to_pylist()
-            ids = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+            if not batch.num_rows:
+                continue
+            coded = batch.column("word").dictionary_encode()
+            numbers = []
+            for word in coded.dictionary.to_pylist():
+                if word != last:
+                    last, last_ids = word, np.array(tokenizer.encode(word, add_special_tokens=False).ids, width).tobytes()
+                numbers.append(last_ids)
+            ids = pa.array(numbers, pa.binary()).take(coded.indices)
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("place"), ids], ["block", "place", "ids"])
 
-    return words.select("word").mapInArrow(run, "word string, ids array<int>")
+    dealt = words.select("block", "place", "word").repartition("word").sortWithinPartitions("word")
+    return dealt.mapInArrow(run, "block long, place int, ids binary")
 
 
 def _packed(places: np.ndarray) -> bytes:
@@ -242,30 +265,27 @@ def _split_by_library(tokenizer, text: str) -> list[str]:
 def round_trip(documents: DataFrame, vocabulary: Vocabulary | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, ``ids`` (binary: little-endian unsigned 32-bit) and ``decoded`` (the text of these ids) of every document.
 
-    Bytes of ids concatenate, so the join with the pieces runs over the ids of distinct words; whether the bytes are
-    well-formed is judged on the whole document.
+    Ids meet their pieces in the task that lays out a block, as a broadcast join: the pieces are as many as the tokens of
+    the vocabulary. Whether the bytes are well-formed is judged on the whole document.
     """
     vocabulary = vocabulary or Vocabulary.public()
-    spark = documents.sparkSession
     kind = documents.select("doc_id").schema["doc_id"].dataType.simpleString()
     parts = written(_blocks(documents, vocabulary, block_chars), "bpe-blocks")
-    listed = parts.filter(F.col("word").isNotNull()).select("block", "place", "word")
-    coded = spelled(encode_words(listed.select("word").distinct(), vocabulary), pieces(spark, vocabulary))
-    by_place = listed.join(coded, "word").select("block", "place", "ids", "bytes")
+    by_place = encode_places(parts.filter(F.col("word").isNotNull()), vocabulary)
     texts = parts.filter(F.col("word").isNull()).select(F.col("block").alias("of_block"), "doc_id", "at")
+    shared, width = documents.sparkSession.sparkContext.broadcast(_spellings(vocabulary)), _width(vocabulary)
 
     def lay_out(rows: pa.Table, words: pa.Table) -> pa.Table:
-        order = np.argsort(words.column("place").to_numpy())
-        lists = words.column("ids").combine_chunks().take(pa.array(order))
-        flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        ends = (4 * np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))).tolist()
-        numbers = [flat[a:b] for a, b in zip([0, *ends], ends)]
-        spellings = words.column("bytes").combine_chunks().take(pa.array(order)).to_pylist()
+        table = [b""] * (shared.value[-1][0] + 1)
+        for number, data in shared.value:
+            table[number] = data
+        order = pa.array(np.argsort(words.column("place").to_numpy()))
+        numbers = words.column("ids").combine_chunks().take(order).to_pylist()
         ids, decoded = [], []
         for at in rows.column("at").to_pylist():
-            places = _unpacked(at).tolist()
-            ids.append(b"".join(map(numbers.__getitem__, places)))
-            decoded.append(b"".join(map(spellings.__getitem__, places)).decode("utf-8", "replace"))
+            own = np.frombuffer(b"".join(map(numbers.__getitem__, _unpacked(at).tolist())), width)
+            ids.append(own.astype("<u4").tobytes())
+            decoded.append(b"".join(map(table.__getitem__, own.tolist())).decode("utf-8", "replace"))
         return pa.table({"doc_id": rows.column("doc_id"), "ids": pa.array(ids, pa.binary()), "decoded": pa.array(decoded, pa.string())})
 
     laid = texts.groupBy("of_block").cogroup(by_place.groupBy("block"))
