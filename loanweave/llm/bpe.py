@@ -21,6 +21,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,9 @@ from .common import written
 
 #: Characters of a block; one document more may start below this number.
 BLOCK_CHARS = 1 << 25
+#: Words, or bytes of ids, that a task packs at a time.
+PACK_ROWS = 1 << 20
+PACK_BYTES = 1 << 27
 
 #: White space and the word pattern of the published byte-level vocabularies, with the space class spelt out.
 _SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -97,11 +101,6 @@ def _spellings(vocabulary: Vocabulary) -> list[tuple[int, bytes]]:
     return sorted(found)
 
 
-def _width(vocabulary: Vocabulary) -> str:
-    """The least unsigned type that holds every id of the vocabulary."""
-    return "<u2" if _spellings(vocabulary)[-1][0] < 1 << 16 else "<u4"
-
-
 def pieces(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
     """id and piece of every token; a piece is a string whose characters up to U+00FF stand for its bytes."""
     rows = [(number, data.decode("latin-1")) for number, data in _spellings(vocabulary)]
@@ -135,15 +134,31 @@ def decode(sequences: DataFrame, vocabulary: Vocabulary | None = None) -> DataFr
 
 
 def encode_places(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """block, place and ``ids`` (binary: numbers of ``_width`` bytes) of every row of ``words`` (block, place, word).
+    """block, mark and ``coded`` (places of some words of the block with their ids) for ``words`` (block, mark, place, word).
 
     Rows are dealt by word and sorted, so equal words follow each other and each distinct word is encoded once; a word
-    crosses the network once per block, its ids once on the way back.
+    crosses the network once per block, its ids once on the way back, packed by block.
     """
 
+    def pack(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        block, mark, place = (rows.column(c).to_numpy() for c in ("block", "mark", "place"))
+        order = np.lexsort((place, mark, block))
+        block, mark, place = block[order], mark[order], place[order]
+        ids = rows.column("ids").combine_chunks().take(pa.array(order))
+        sizes = pc.binary_length(ids).to_numpy() // 4
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.frombuffer(b"".join(ids.to_pylist()), "<u4")
+        first = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (mark[1:] != mark[:-1])]))
+        coded = []
+        for i, j in zip(first.tolist(), [*first[1:].tolist(), len(order)]):
+            steps = np.diff(place[i:j], prepend=0)
+            coded.append(_packed(np.concatenate([[j - i], steps, sizes[i:j], flat[ends[i] : ends[j]]])))
+        return pa.RecordBatch.from_arrays([pa.array(block[first]), pa.array(mark[first]), pa.array(coded, pa.binary())], ["block", "mark", "coded"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, width = _tokenizer(vocabulary), _width(vocabulary)
-        last, last_ids = None, b""
+        tokenizer = _tokenizer(vocabulary)
+        last, last_ids, held, rows, size = None, b"", [], 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -151,49 +166,62 @@ def encode_places(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             numbers = []
             for word in coded.dictionary.to_pylist():
                 if word != last:
-                    last, last_ids = word, np.array(tokenizer.encode(word, add_special_tokens=False).ids, width).tobytes()
+                    last, last_ids = word, np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
                 numbers.append(last_ids)
             ids = pa.array(numbers, pa.binary()).take(coded.indices)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("place"), ids], ["block", "place", "ids"])
+            held.append(pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "mark", "place")), ids], ["block", "mark", "place", "ids"]))
+            rows, size = rows + batch.num_rows, size + ids.nbytes
+            if rows >= PACK_ROWS or size >= PACK_BYTES:
+                yield pack(held)
+                held, rows, size = [], 0, 0
+        if held:
+            yield pack(held)
 
-    dealt = words.select("block", "place", "word").repartition("word").sortWithinPartitions("word")
-    return dealt.mapInArrow(run, "block long, place int, ids binary")
+    dealt = words.select("block", "mark", "place", "word").repartition("word").sortWithinPartitions("word")
+    return dealt.mapInArrow(run, "block long, mark long, coded binary")
 
 
-def _packed(places: np.ndarray) -> bytes:
-    """Compressed places: frequent words have small ones, so the planes of high bytes are nearly empty."""
-    return zstandard.compress(places.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+def _packed(numbers: np.ndarray) -> bytes:
+    """Compressed numbers below 2^32: small ones are frequent, so the planes of high bytes are nearly empty."""
+    return zstandard.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def _block(number: int, batches: list[tuple[pa.Array, pa.Array]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """The rows of one block: its documents as places, then its distinct words by place."""
+def _block(number: int, batches: list[tuple[pa.Array, pa.Array]], of_words: bool) -> Iterator[pa.RecordBatch]:
+    """One block: its distinct words by place, or its documents as places. ``mark`` is a hash of all its words in order."""
     keys = pa.concat_arrays([k for k, _ in batches])
     lists = pa.concat_arrays([w for _, w in batches])
     coded = lists.flatten().dictionary_encode()
     codes, sizes = coded.indices.to_numpy(), pc.list_value_length(lists).to_numpy()
     counts = np.bincount(codes, minlength=len(coded.dictionary))
     order = np.argsort(-counts, kind="stable")
+    mark = xxhash.xxh3_64(codes.tobytes())
+    mark.update("\0".join(coded.dictionary.to_pylist()).encode())
+    named = lambda n: [pa.array(np.full(n, x, np.int64)) for x in (number, mark.intdigest() >> 1)]
+    if of_words:
+        words = coded.dictionary.take(pa.array(order))
+        n = len(order)
+        yield pa.RecordBatch.from_arrays([*named(n), pa.array(np.arange(n, dtype=np.int32)), words], ["block", "mark", "place", "word"])
+        return
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    ends = np.cumsum(sizes)
-    rows = [_packed(place[codes[end - size : end]]) for end, size in zip(ends.tolist(), sizes.tolist())]
-    block = lambda n: pa.array(np.full(n, number, np.int64))
-    n = len(rows)
-    yield pa.RecordBatch.from_arrays([block(n), keys, pa.array(rows, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], schema=schema)
-    n = len(order)
-    words = coded.dictionary.take(pa.array(order))
-    yield pa.RecordBatch.from_arrays(
-        [block(n), pa.nulls(n, keys.type), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), words], schema=schema
-    )
-
-
-def _blocks(documents: DataFrame, vocabulary: Vocabulary, block_chars: int) -> DataFrame:
-    """block with doc_id and ``at`` for documents, or ``place`` and ``word`` for the distinct words of the block."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    # runs of whole documents, about PACK_ROWS words each
+    group = ends[:-1] // PACK_ROWS
+    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    bounds = [*first.tolist(), len(sizes)]
+    packed = [_packed(place[codes[ends[i] : ends[j]]]) for i, j in zip(bounds, bounds[1:])]
+    offsets = pa.array(bounds, pa.int32())
+    columns = [pa.ListArray.from_arrays(offsets, keys), pa.ListArray.from_arrays(offsets, pa.array(sizes, pa.int32())), pa.array(packed, pa.binary())]
+    yield pa.RecordBatch.from_arrays([*named(len(packed)), *columns], ["block", "mark", "doc_ids", "sizes", "places"])
+
+
+def _blocks(documents: DataFrame, vocabulary: Vocabulary, block_chars: int, of_words: bool) -> DataFrame:
+    """block and mark with ``place`` and ``word`` of each distinct word, or ``doc_ids``, ``sizes`` and ``places`` of documents."""
     text = F.coalesce("text", F.lit(""))
     # code points that only newer tables of letters know are left to the tokenizers library's own splitter
     odd = text.rlike(r"\p{Cn}")
@@ -203,7 +231,7 @@ def _blocks(documents: DataFrame, vocabulary: Vocabulary, block_chars: int) -> D
     kind = documents.select("doc_id").schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, chars, schema = [], 0, None
+        held, chars = [], 0
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             keys, lists, texts = batch.columns
@@ -215,9 +243,6 @@ def _blocks(documents: DataFrame, vocabulary: Vocabulary, block_chars: int) -> D
                     if text is not None:
                         own[i] = _split_by_library(tokenizer, text)
                 lists = pa.array(own, pa.list_(pa.string()))
-            schema = schema or pa.schema(
-                [("block", pa.int64()), ("doc_id", keys.type), ("at", pa.binary()), ("place", pa.int32()), ("word", pa.string())]
-            )
             sizes = np.cumsum(pc.fill_null(_characters(lists), 0).to_numpy(zero_copy_only=False))
             start = 0
             while start < len(sizes):
@@ -227,12 +252,13 @@ def _blocks(documents: DataFrame, vocabulary: Vocabulary, block_chars: int) -> D
                 chars += int(sizes[end - 1] - (sizes[start - 1] if start else 0))
                 start = end
                 if chars >= block_chars:
-                    yield from _block(number, held, schema)
+                    yield from _block(number, held, of_words)
                     held, chars, number = [], 0, number + 1
         if held:
-            yield from _block(number, held, schema)
+            yield from _block(number, held, of_words)
 
-    return split.mapInArrow(run, f"block long, doc_id {kind}, at binary, place int, word string")
+    columns = "place int, word string" if of_words else f"doc_ids array<{kind}>, sizes array<int>, places binary"
+    return split.mapInArrow(run, f"block long, mark long, {columns}")
 
 
 def _characters(lists: pa.Array) -> pa.Array:
@@ -267,26 +293,57 @@ def round_trip(documents: DataFrame, vocabulary: Vocabulary | None = None, block
 
     Ids meet their pieces in the task that lays out a block, as a broadcast join: the pieces are as many as the tokens of
     the vocabulary. Whether the bytes are well-formed is judged on the whole document.
+
+    Documents are split twice, for their words and for their places, instead of being written between. That needs rows
+    that come in the same order each time, as those of a table do: a block's ``mark`` differs otherwise and the run fails.
     """
     vocabulary = vocabulary or Vocabulary.public()
     kind = documents.select("doc_id").schema["doc_id"].dataType.simpleString()
-    parts = written(_blocks(documents, vocabulary, block_chars), "bpe-blocks")
-    by_place = encode_places(parts.filter(F.col("word").isNotNull()), vocabulary)
-    texts = parts.filter(F.col("word").isNull()).select(F.col("block").alias("of_block"), "doc_id", "at")
-    shared, width = documents.sparkSession.sparkContext.broadcast(_spellings(vocabulary)), _width(vocabulary)
+    coded = encode_places(_blocks(documents, vocabulary, block_chars, of_words=True), vocabulary)
+    texts = _blocks(documents, vocabulary, block_chars, of_words=False)
+    shared = documents.sparkSession.sparkContext.broadcast(_spellings(vocabulary))
 
-    def lay_out(rows: pa.Table, words: pa.Table) -> pa.Table:
-        table = [b""] * (shared.value[-1][0] + 1)
+    def lay_out(texts: pa.Table, words: pa.Table) -> pa.Table:
+        spelling = [b""] * (shared.value[-1][0] + 1)
         for number, data in shared.value:
-            table[number] = data
-        order = pa.array(np.argsort(words.column("place").to_numpy()))
-        numbers = words.column("ids").combine_chunks().take(order).to_pylist()
-        ids, decoded = [], []
-        for at in rows.column("at").to_pylist():
-            own = np.frombuffer(b"".join(map(numbers.__getitem__, _unpacked(at).tolist())), width)
-            ids.append(own.astype("<u4").tobytes())
-            decoded.append(b"".join(map(table.__getitem__, own.tolist())).decode("utf-8", "replace"))
-        return pa.table({"doc_id": rows.column("doc_id"), "ids": pa.array(ids, pa.binary()), "decoded": pa.array(decoded, pa.string())})
-
-    laid = texts.groupBy("of_block").cogroup(by_place.groupBy("block"))
+            spelling[number] = data
+        spelling = pa.array(spelling, pa.large_binary())
+        at, sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for data in words.column("coded").to_pylist():
+            own = _unpacked(data)
+            n = int(own[0])
+            at.append(np.cumsum(own[1 : n + 1]))
+            sizes.append(own[n + 1 : 2 * n + 1])
+            flat.append(own[2 * n + 1 :])
+        at, sizes, flat = np.concatenate(at), np.concatenate(sizes), np.concatenate(flat)
+        begin, length = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        begin[at], length[at] = np.cumsum(sizes) - sizes, sizes
+        out = []
+        for own_keys, n_words, places in zip(texts.column("doc_ids"), texts.column("sizes"), texts.column("places")):
+            places = _unpacked(places.as_py())
+            if len(places) and places.max() >= len(at):
+                raise ValueError("the documents changed between two readings; write them as a table first")
+            long = length[places]
+            ends = np.concatenate([[0], np.cumsum(long)])
+            ids = flat[np.repeat(begin[places] - ends[:-1], long) + np.arange(ends[-1])]
+            found = spelling.take(pa.array(ids))
+            sides = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy())])
+            data = b"".join(found.to_pylist())
+            words_end = np.concatenate([[0], np.cumsum(n_words.values.to_numpy())])
+            cuts = ends[words_end]
+            numbers = ids.astype("<u4").tobytes()
+            pairs = list(zip(cuts.tolist(), cuts[1:].tolist()))
+            letters = sides[cuts].tolist()
+            out.append(
+                pa.table(
+                    {
+                        "doc_id": own_keys.values,
+                        "ids": pa.array([numbers[4 * i : 4 * j] for i, j in pairs], pa.binary()),
+                        "decoded": pa.array([data[i:j].decode("utf-8", "replace") for i, j in zip(letters, letters[1:])], pa.string()),
+                    }
+                )
+            )
+        return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], texts.schema.field("doc_ids").type.value_type), "ids": pa.array([], pa.binary()), "decoded": pa.array([], pa.string())})
+
+    laid = texts.groupBy("block", "mark").cogroup(coded.groupBy("block", "mark"))
     return laid.applyInArrow(lay_out, f"doc_id {kind}, ids binary, decoded string")
