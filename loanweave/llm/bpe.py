@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: Characters of a block; one document more may start below this number.
-BLOCK_CHARS = 1 << 25
-#: Words, or bytes of ids, that a task packs at a time.
-PACK_ROWS = 1 << 20
-PACK_BYTES = 1 << 27
+BLOCK_CHARS = 1 << 24
+#: Words, or bytes of ids, that a task packs at a time; words of documents that lie in one row.
+PACK_ROWS = 1 << 18
+PACK_BYTES = 1 << 26
+ROW_WORDS = 1 << 16
 
 #: White space and the word pattern of the published byte-level vocabularies, with the space class spelt out.
 _SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -146,9 +147,9 @@ def encode_places(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         order = np.lexsort((place, mark, block))
         block, mark, place = block[order], mark[order], place[order]
         ids = rows.column("ids").combine_chunks().take(pa.array(order))
-        sizes = pc.binary_length(ids).to_numpy() // 4
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        flat = np.frombuffer(b"".join(ids.to_pylist()), "<u4")
+        ends, flat = _laid_out(ids)
+        ends, flat = ends // 4, flat.view("<u4")
+        sizes = np.diff(ends)
         first = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (mark[1:] != mark[:-1])]))
         coded = []
         for i, j in zip(first.tolist(), [*first[1:].tolist(), len(order)]):
@@ -188,7 +189,17 @@ def _packed(numbers: np.ndarray) -> bytes:
 
 def _unpacked(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def _laid_out(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ends (from 0) and all bytes, one after the other, of a string or binary array without nulls."""
+    wide = pa.types.is_large_binary(values.type) or pa.types.is_large_string(values.type)
+    _, ends, data = values.buffers()
+    if not len(values) or data is None:
+        return np.zeros(len(values) + 1, np.int64), np.zeros(0, np.uint8)
+    ends = np.frombuffer(ends, np.int64 if wide else np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+    return ends - ends[0], np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
 
 
 def _block(number: int, batches: list[tuple[pa.Array, pa.Array]], of_words: bool) -> Iterator[pa.RecordBatch]:
@@ -200,7 +211,8 @@ def _block(number: int, batches: list[tuple[pa.Array, pa.Array]], of_words: bool
     counts = np.bincount(codes, minlength=len(coded.dictionary))
     order = np.argsort(-counts, kind="stable")
     mark = xxhash.xxh3_64(codes.tobytes())
-    mark.update("\0".join(coded.dictionary.to_pylist()).encode())
+    for part in _laid_out(coded.dictionary):
+        mark.update(part.tobytes())
     named = lambda n: [pa.array(np.full(n, x, np.int64)) for x in (number, mark.intdigest() >> 1)]
     if of_words:
         words = coded.dictionary.take(pa.array(order))
@@ -210,8 +222,8 @@ def _block(number: int, batches: list[tuple[pa.Array, pa.Array]], of_words: bool
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    # runs of whole documents, about PACK_ROWS words each
-    group = ends[:-1] // PACK_ROWS
+    # runs of whole documents
+    group = ends[:-1] // ROW_WORDS
     first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     bounds = [*first.tolist(), len(sizes)]
     packed = [_packed(place[codes[ends[i] : ends[j]]]) for i, j in zip(bounds, bounds[1:])]
@@ -308,16 +320,16 @@ def round_trip(documents: DataFrame, vocabulary: Vocabulary | None = None, block
         for number, data in shared.value:
             spelling[number] = data
         spelling = pa.array(spelling, pa.large_binary())
-        at, sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        at, sizes, flat = ([np.zeros(0, np.uint32)] for _ in range(3))
         for data in words.column("coded").to_pylist():
             own = _unpacked(data)
             n = int(own[0])
-            at.append(np.cumsum(own[1 : n + 1]))
+            at.append(np.cumsum(own[1 : n + 1], dtype=np.uint32))
             sizes.append(own[n + 1 : 2 * n + 1])
             flat.append(own[2 * n + 1 :])
         at, sizes, flat = np.concatenate(at), np.concatenate(sizes), np.concatenate(flat)
         begin, length = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        begin[at], length[at] = np.cumsum(sizes) - sizes, sizes
+        begin[at], length[at] = np.cumsum(sizes, dtype=np.int64) - sizes, sizes
         out = []
         for own_keys, n_words, places in zip(texts.column("doc_ids"), texts.column("sizes"), texts.column("places")):
             places = _unpacked(places.as_py())
@@ -327,8 +339,8 @@ def round_trip(documents: DataFrame, vocabulary: Vocabulary | None = None, block
             ends = np.concatenate([[0], np.cumsum(long)])
             ids = flat[np.repeat(begin[places] - ends[:-1], long) + np.arange(ends[-1])]
             found = spelling.take(pa.array(ids))
-            sides = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy())])
-            data = b"".join(found.to_pylist())
+            sides, data = _laid_out(found)
+            data = data.tobytes()
             words_end = np.concatenate([[0], np.cumsum(n_words.values.to_numpy())])
             cuts = ends[words_end]
             numbers = ids.astype("<u4").tobytes()
