@@ -252,6 +252,33 @@ def reindex_embeddings(spark, folder):
     )
 
 
+@query(
+    "reindex_subject_tfidf",
+    statement(
+        "loans items clean tags vocab tf weights",
+        """SELECT i, item_idx, subject_idx, round(coalesce(weight, 0), 6) AS weight
+           FROM (SELECT i, row_number() OVER (ORDER BY i) - 1 AS item_idx FROM items) LEFT JOIN weights USING (i)""",
+    ),
+)
+def reindex_subject_tfidf(spark, folder):
+    index = indexing.item_index(bed.items(spark, folder))
+    aligned = indexing.reindex_weights(index, weighted_subjects(spark, folder))
+    return aligned.select("i", "item_idx", "subject_idx", F.round("weight", 6).alias("weight"))
+
+
+@query(
+    "subject_match_rate",
+    statement(
+        "loans items clean tags vocab tf weights",
+        """SELECT count(*) AS n_items, count(*) FILTER (i IN (SELECT i FROM weights)) AS matched,
+                  round(count(*) FILTER (i IN (SELECT i FROM weights)) * 100.0 / count(*), 1) AS matched_pct
+           FROM items""",
+    ),
+)
+def subject_match_rate(spark, folder):
+    return indexing.match_rate(bed.items(spark, folder).select("i"), weighted_subjects(spark, folder))
+
+
 @query(
     "user_author_matrix",
     statement(

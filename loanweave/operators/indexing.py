@@ -130,5 +130,5 @@ def reindex_embeddings(index: DataFrame, embeddings: DataFrame, dim: int) -> Dat
 
 
 def reindex_weights(index: DataFrame, weights: DataFrame) -> DataFrame:
-    """Item-subject weights of the indexed items; items without any are the zero rows."""
-    return index.join(weights, "i")
+    """Item-subject weights of the indexed items. An item without any is a zero row: no subject and a weight of 0."""
+    return index.join(weights, "i", "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
