@@ -4,8 +4,8 @@ A text's sketch is its ``SKETCH`` smallest shingle hashes. Texts with equal shin
 is entered under the rarer of its retained values: two sets as similar as asked share so many retained values that they
 meet under one of those (``least_overlap``). A list of classes under a value is first compared with its most central
 member: pairs whose union sketch makes the similarity unlikely are dropped, all others are verified on the full sets.
-Classes of a list that are then still in different groups are compared with each other, as far as the places of their
-rarest shingles allow (``cross_pairs``, exact). Groups are the connected components of verified pairs.
+Classes of a list that are then still in different groups are compared with each other, as far as the rarest of their
+differences to that member allow (``cross_pairs``). Groups are the connected components of verified pairs.
 
 How rare a value is comes from a table of ``COUNTERS`` counters, a size that does not depend on the data; it only
 orders values, so collisions cost time, never links. No list is capped: long ones meet in blocks of ``BLOCK``.
@@ -190,33 +190,85 @@ def full_sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame) -> Da
     return rows.mapInPandas(run, "id long, shingles array<long>").dropDuplicates(["id"])
 
 
-def prefixes(sets: DataFrame, counts: np.ndarray, per_cent: int) -> DataFrame:
-    """value, id, at and n: the rarest shingles of each set, enough that similar sets share one, with their places."""
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
+def differences(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """pivot, id, c, n, linked, near and values for pairs of a head (a) and a member (b) of its lists.
+
+    ``values`` are the shingles in one of the two sets only, hashed with the head; c and n are the sizes of head and
+    member. Pairs further apart than three links (a similarity below 3 * per_cent - 200) are left out; ``near`` ones are
+    not further apart than two.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for head, cid, s_head, s_own in zip(batch["a"], batch["b"], batch["s_a"], batch["s_b"]):
+                apart = np.setxor1d(s_head, s_own, assume_unique=True)
+                c, n = len(s_head), len(s_own)
+                union = (c + n + len(apart)) // 2
+                likeness = 100 * (union - len(apart))
+                if likeness >= (3 * per_cent - 200) * union:
+                    keyed = _mix(apart.astype(np.uint64) + _mix(np.full(1, head, dtype=np.uint64))) >> np.uint64(1)
+                    rows.append((head, cid, c, n, likeness >= per_cent * union, likeness >= (2 * per_cent - 100) * union, keyed.astype(np.int64)))
+            yield pd.DataFrame(rows, columns=["pivot", "id", "c", "n", "linked", "near", "values"])
+
+    both = _attach(_attach(pairs, sets, "b", {"shingles": "s_b"}), sets, "a", {"shingles": "s_a"})
+    return both.mapInPandas(run, "pivot long, id long, c long, n long, linked boolean, near boolean, values array<long>")
+
+
+def least_shared(apart: int, n: int, c: int, linked: bool, per_cent: int) -> int:
+    """Values that a difference of ``apart`` shares with that of any similar set in another group.
+
+    Sets a and b are similar if |a ^ b| * (100 + p) <= (100 - p) * (|a| + |b|), and a ^ b is what just one of their
+    differences to the head holds. One of two sets in different groups is not linked with the head, so its own
+    difference exceeds this bound. Without a head (c = 0) a set is its own difference.
+    """
+    more, less = 100 + per_cent, 100 - per_cent
+    if c == 0:
+        return -(-per_cent * n // 100)
+    own = more * apart + (less * (c - n) + 1 if linked else -less * (c + n))
+    return max(1, -(-own // (2 * more)), apart - less * n // per_cent)
+
+
+def prefixes(table: DataFrame, counts: np.ndarray, per_cent: int) -> DataFrame:
+    """value, id, at, apart and n: the rarest values of each difference, enough that similar sets share one, with places."""
+    shared = table.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values, ids, places, sizes = [], [], [], []
-            for cid, own in zip(batch["id"], batch["shingles"]):
-                n = len(own)
-                rarest = own[np.lexsort((own, shared.value[own % COUNTERS]))[: n - -(-per_cent * n // 100) + 1]]
+            values, ids, places, aparts, sizes = [], [], [], [], []
+            for cid, c, n, linked, own in zip(batch["id"], batch["c"], batch["n"], batch["linked"], batch["values"]):
+                keep = len(own) - least_shared(len(own), n, c, linked, per_cent) + 1
+                rarest = own[np.lexsort((own, shared.value[own % COUNTERS]))[: max(0, keep)]]
                 values.append(rarest)
                 ids.append(np.full(len(rarest), cid))
                 places.append(np.arange(len(rarest)))
+                aparts.append(np.full(len(rarest), len(own)))
                 sizes.append(np.full(len(rarest), n))
             if values:
-                yield pd.DataFrame({"value": np.concatenate(values), "id": np.concatenate(ids), "at": np.concatenate(places), "n": np.concatenate(sizes)})
+                found = [np.concatenate(x) for x in (values, ids, places, aparts, sizes)]
+                yield pd.DataFrame(dict(zip(("value", "id", "at", "apart", "n"), found)))
 
-    return sets.mapInPandas(run, "value long, id long, at long, n long")
+    return table.select("id", "c", "n", "linked", "values").mapInPandas(run, "value long, id long, at long, apart long, n long")
 
 
-def cross_pairs(sets: DataFrame, labels: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs of sets in different groups that can still be as similar as asked: exact, by prefixes of full sets.
+def cross_pairs(lists: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs of sets in different groups that share a list (id, head) and can still be as similar as asked.
 
-    The first shingle that two sets share, in order of rarity, bounds their overlap by what follows it in either set.
-    That bound leaves few pairs even of a long list. Lists of more than ``BLOCK`` sets are joined block by block.
+    Members near their head meet by what they do not have in common with it: copies of one original share nearly all
+    shingles, but few of their edits. Members far from a head meet by their own rarest shingles. Two similar sets are at
+    most one link apart, so both are within three links of the head or both beyond two: exact but for the sketches.
+    The first value that two differences share, in order of rarity, bounds what they share by what follows it in either.
+    Lists of more than ``BLOCK`` sets are joined block by block.
     """
-    entered = prefixes(sets, rarity(sets, "shingles"), per_cent).join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    pairs = written(lists.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "open-stars")
+    apart = written(differences(likely_pairs(pairs, classes, 3 * per_cent - 200), sets, per_cent), "differences")
+    close = apart.filter("near").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    far = pairs.join(close, ["a", "b"], "left_anti").select(F.col("b").alias("id")).distinct()
+    alone = sets.join(far, "id", "left_semi").select(
+        "id", F.lit(0).cast("long").alias("c"), F.size("shingles").cast("long").alias("n"), F.lit(False).alias("linked"), F.col("shingles").alias("values")
+    )
+    table = written(apart.select(alone.columns).unionByName(alone), "compared")
+    entered = prefixes(table, rarity(table, "values"), per_cent).join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     entered = written(entered, "prefixes")
     spans = entered.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
     open_lists = written(spans.filter("low < high").select("value", "size"), "open-prefixes")
@@ -227,15 +279,16 @@ def cross_pairs(sets: DataFrame, labels: DataFrame, per_cent: int) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
     )
-    dealt = written(dealt.select("value", "x", "y", "own", "id", "label", "at", "n"), "blocks")
-    left, right = (dealt.select("value", "x", "y", *(F.col(c).alias(f"{c}_{side}") for c in ("own", "id", "label", "at", "n"))) for side in "ab")
-    n = F.col("n_a") + F.col("n_b")
-    most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    # overlap / (n - overlap) >= share, in whole numbers
-    possible = (most * (100 + per_cent) >= per_cent * n) & (F.col("label_a") < F.col("label_b"))
+    columns = ("own", "id", "label", "at", "apart", "n")
+    dealt = written(dealt.select("value", "x", "y", *columns), "blocks")
+    left, right = (dealt.select("value", "x", "y", *(F.col(c).alias(f"{c}_{side}") for c in columns)) for side in "ab")
+    most = F.least(F.col("apart_a") - F.col("at_a"), F.col("apart_b") - F.col("at_b"))
+    # |a ^ b| = apart_a + apart_b - 2 * shared, at most (100 - p) / (100 + p) of both sizes, in whole numbers
+    least = (F.col("apart_a") + F.col("apart_b")) * (100 + per_cent) - (F.col("n_a") + F.col("n_b")) * (100 - per_cent)
+    possible = (most * (2 * (100 + per_cent)) >= least) & (F.col("label_a") < F.col("label_b"))
     meeting = (F.col("x") == F.col("y")) | (F.col("own_a") != F.col("own_b"))
-    pairs = left.join(right, ["value", "x", "y"]).filter(possible & meeting)
-    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    found = left.join(right, ["value", "x", "y"]).filter(possible & meeting)
+    return found.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
@@ -265,8 +318,8 @@ def near_duplicates(documents: DataFrame, per_cent: int = PER_CENT) -> DataFrame
     grouped = lists.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     spans = grouped.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
     open_lists = written(spans.filter("low < high").select("value", "size"), "open-lists")
-    undecided = split_by_frequency(grouped, open_lists, ["value"], "size").select("id").distinct()
-    crossing = written(cross_pairs(sets.join(undecided, "id", "left_semi"), labels, per_cent), "crossing")
+    undecided = split_by_frequency(grouped, open_lists, ["value"], "size").select("id", "head")
+    crossing = written(cross_pairs(undecided, classes, sets, labels, per_cent), "crossing")
     if not crossing.isEmpty():
         labels = components(links.unionByName(written(verified(crossing, sets, per_cent), "more-links")))
     named = classes.join(labels, "id", "left").select("set_key", "copies", "first_doc", F.coalesce("label", "id").alias("label"))

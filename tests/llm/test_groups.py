@@ -57,7 +57,7 @@ def shingle_set(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute_groups(rows):
+def brute_groups(rows, per_cent=85):
     sets = [shingle_set(t) for _, t, *_ in rows]
     root = list(range(len(rows)))
 
@@ -69,7 +69,7 @@ def brute_groups(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if both and 100 * both >= per_cent * (len(sets[i]) + len(sets[j]) - both):
                 root[find(i)] = find(j)
     lowest = {}
     for i, r in enumerate(rows):
@@ -97,6 +97,57 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert rows_of(got) == brute_groups(rows)
 
 
+@pytest.mark.parametrize("per_cent", [80, 85])
+def test_near_duplicates_around_a_threshold(spark, monkeypatch, per_cent):
+    """Copies of one text, most of them just linked with it or just not, some linked only through another copy."""
+    made, compared = near_duplicates.cross_pairs, []
+
+    def counted(*given):
+        pairs = made(*given)
+        compared.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_duplicates, "cross_pairs", counted)
+    rng = random.Random(per_cent)
+    base = prose(3, 150).split()
+
+    def edited(words, times, seed):
+        words = list(words)
+        for k in rng.sample(range(len(words)), times):
+            words[k] = f"edit{seed}x{k}"
+        return words
+
+    texts = [base, *(edited(base, 2 + i % 5, i) for i in range(150))]
+    texts += [edited(texts[i], 2, 1000 + i) for i in range(1, 150, 3)] + [t[: 130 + i] for i, t in enumerate(texts[5:20])]
+    texts += [base[: 60 + 5 * i] + prose(900 + i, 90 - 5 * i).split() for i in range(15)]
+    rows = [(1000 - i, " ".join(t), None, None, None) for i, t in enumerate(texts)]
+    want = brute_groups(rows, per_cent)
+    got = near_duplicates.near_duplicates(frame(spark, rows).repartition(4), per_cent).drop("row_key")
+    assert rows_of(got) == want
+    groups = len({r[2] for r in want})
+    assert groups > 10 and sum(compared) < 20 * len(rows)
+
+
+@pytest.mark.parametrize("per_cent", [80, 85, 90])
+def test_least_shared_holds_for_sets_in_different_groups(per_cent):
+    rng, seen = random.Random(per_cent), 0
+    for _ in range(4000):
+        head = set(range(rng.randrange(5, 60)))
+        a = {x for x in head if rng.random() > 0.12} | set(range(100, 100 + rng.randrange(8)))
+        b = {x for x in a if rng.random() > 0.06} | set(range(200, 200 + rng.randrange(4)))
+        if not a or not b or 100 * len(a & b) < per_cent * len(a | b):
+            continue
+        linked = [100 * len(x & head) >= per_cent * len(x | head) for x in (a, b)]
+        if all(linked):
+            continue
+        seen += 1
+        shared = len((a ^ head) & (b ^ head))
+        for x, near in zip((a, b), linked):
+            assert shared >= near_duplicates.least_shared(len(x ^ head), len(x), len(head), near, per_cent)
+        assert len(a & b) >= near_duplicates.least_shared(len(a), len(a), 0, False, per_cent)
+    assert seen > 100
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates.near_duplicates(frame(spark, [])).count() == 0
     assert near_duplicates.one_of_each(frame(spark, [(1, None, *[None] * 3), (2, "", *[None] * 3)])).count() == 2
