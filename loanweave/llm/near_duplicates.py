@@ -334,6 +334,9 @@ def near_duplicates(documents: DataFrame, per_cent: int = PER_CENT) -> DataFrame
 
 def one_of_each(documents: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """The kept document of each group, all columns as they are; rows equal in doc_id and text are one document."""
-    kept = near_duplicates(documents, per_cent).filter("kept").select(F.col("row_key").alias("_kept_key")).distinct()
-    marked = documents.withColumn("_kept_key", F.xxhash64("doc_id", "text"))
-    return marked.join(kept, "_kept_key", "left_semi").dropDuplicates(["_kept_key"]).drop("_kept_key")
+    key = "_kept_key"
+    while key in {c.lower() for c in documents.columns}:
+        key += "_"
+    kept = near_duplicates(documents, per_cent).filter("kept").select(F.col("row_key").alias(key)).distinct()
+    marked = documents.withColumn(key, F.xxhash64("doc_id", "text"))
+    return marked.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)

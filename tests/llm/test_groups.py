@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loanweave.llm import components, decontamination, html_extraction, near_duplicates, packing, repeated_spans
@@ -157,6 +158,8 @@ def test_one_of_each(spark):
     kept = near_duplicates.one_of_each(frame(spark, extra=True))
     assert kept.columns == frame(spark, extra=True).columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"]) == [1, 3, 4, 5, 6, 7]
+    clashing = near_duplicates.one_of_each(frame(spark).withColumn("_kept_key", F.lit("mine")))
+    assert {r["_kept_key"] for r in clashing.collect()} == {"mine"}
 
 
 def test_least_overlap_is_exact_for_small_sets():
