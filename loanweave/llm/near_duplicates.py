@@ -261,7 +261,7 @@ def cross_pairs(lists: DataFrame, classes: DataFrame, sets: DataFrame, labels: D
     Lists of more than ``BLOCK`` sets are joined block by block.
     """
     pairs = written(lists.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "open-stars")
-    apart = written(differences(likely_pairs(pairs, classes, 3 * per_cent - 200), sets, per_cent), "differences")
+    apart = written(differences(likely_pairs(pairs, classes, max(0, 3 * per_cent - 200)), sets, per_cent), "differences")
     close = apart.filter("near").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
     far = pairs.join(close, ["a", "b"], "left_anti").select(F.col("b").alias("id")).distinct()
     alone = sets.join(far, "id", "left_semi").select(

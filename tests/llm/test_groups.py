@@ -129,7 +129,13 @@ def test_near_duplicates_around_a_threshold(spark, monkeypatch, per_cent):
     assert groups > 10 and sum(compared) < 20 * len(rows)
 
 
-@pytest.mark.parametrize("per_cent", [80, 85, 90])
+def test_near_duplicates_at_a_low_threshold(spark):
+    rows = [(i, t, None, None, None) for i, t in enumerate([*near_copies(4, 40, 80, 14), *(prose(i, 60) for i in range(10))])]
+    got = near_duplicates.near_duplicates(frame(spark, rows).repartition(2), 50).drop("row_key")
+    assert rows_of(got) == brute_groups(rows, 50)
+
+
+@pytest.mark.parametrize("per_cent", [50, 80, 85, 90])
 def test_least_shared_holds_for_sets_in_different_groups(per_cent):
     rng, seen = random.Random(per_cent), 0
     for _ in range(4000):
