@@ -47,14 +47,21 @@ class Vocabulary:
         return cls(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+class _Irregular(Exception):
+    """A chunk that borders on white space besides the space it was split at."""
+
+
 class _Chunks(dict):
     """Ids of text chunks as little-endian bytes; forgets everything when full."""
 
-    def __init__(self, encode, prefix: str):
+    def __init__(self, encode, prefix: str, inner: bool = False):
         super().__init__()
-        self.encode, self.prefix = encode, prefix
+        self.encode, self.prefix, self.inner = encode, prefix, inner
 
     def __missing__(self, chunk: str) -> bytes:
+        # chunks that are kept have been looked at, so each distinct one is looked at once
+        if self.inner and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
+            raise _Irregular
         ids = self.encode(self.prefix + chunk)
         if len(chunk) <= 48:
             if len(self) >= CACHED_CHUNKS:
@@ -72,8 +79,6 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        import re
-
         import numpy as np
         import tiktoken
         from tokenizers import Tokenizer
@@ -85,15 +90,26 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         fast = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
         as_bytes = lambda text: np.array(fast.encode_ordinary(text), dtype="<u4").tobytes()
-        self.first, self.rest = _Chunks(as_bytes, ""), _Chunks(as_bytes, " ")
-        self.irregular = re.compile(r"\s | \s|^ | $").search
+        self.first, self.rest, self.last = _Chunks(as_bytes, ""), _Chunks(as_bytes, " ", True), _Chunks(as_bytes, " ")
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if self.irregular(text) or any(s in text for s in self.special):
-            return self.np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        head, *rest = text.split(" ")
-        return self.first[head] + b"".join(map(self.rest.__getitem__, rest))
+        if not any(s in text for s in self.special):
+            try:
+                return self._by_chunks(text)
+            except _Irregular:
+                pass
+        return self.np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _by_chunks(self, text: str) -> bytes:
+        head, *inner = text.split(" ")
+        if not inner:
+            return self.first[head]
+        # the last chunk may end in white space, as no space follows it
+        last = inner.pop()
+        if not head or head[-1].isspace() or not last or last[0].isspace():
+            raise _Irregular
+        return self.first[head] + b"".join(map(self.rest.__getitem__, inner)) + self.last[last]
 
 
 _ENCODERS: dict[Vocabulary, Encoder] = {}
