@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .skew import HOT_GROUP_ROWS, hot_keys, repeat_rows
+from .spreading import spread
 
 SECONDS_PER_DAY = 86_400
 
@@ -21,8 +22,9 @@ def positions(
     """
     columns = [*keys, *order]
     log = log.select(*columns)
-    hot = hot_keys(log, keys, hot_rows)
-    plain = log if hot is None else log.join(hot, keys, "left_anti")
+    rows = log.count()
+    hot = hot_keys(log, keys, hot_rows) if rows > hot_rows else None
+    plain = spread(log if hot is None else log.join(hot, keys, "left_anti"), rows, *keys)
     group = Window.partitionBy(*keys)
     numbered = plain.withColumn(
         "position", (F.row_number().over(group.orderBy(*order)) - 1).cast("long")
@@ -50,10 +52,10 @@ def positions(
     starts = cells.join(slices, [*keys, "_segment"]).withColumn(
         "_start", F.col("_offset") + F.coalesce(F.sum("_copies").over(inside), F.lit(0))
     )
-    spread = repeat_rows(starts, "_copies", "_copy").select(
+    unrolled = repeat_rows(starts, "_copies", "_copy").select(
         *columns, (F.col("_start") + F.col("_copy")).alias("position"), "group_rows"
     )
-    return numbered.unionByName(spread)
+    return numbered.unionByName(unrolled)
 
 
 def clean_interactions(log: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.spreading import spread
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -21,7 +23,9 @@ def loans(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", F.col("l_partkey").alias("i"), epoch_seconds(F.col("l_shipdate")).alias("t")
     )
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select("u", "i", "t")
+    rows = lines.count()
+    lines, orders = spread(lines, rows, "l_orderkey"), spread(orders, rows, "o_orderkey")
+    return lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey).select("u", "i", "t")
 
 
 def visits(spark: SparkSession, folder: str) -> DataFrame:
