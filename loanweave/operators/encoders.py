@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import cut_lineage
 from .catalog import keep_subjects, subject_counts, subject_rows
 from .indexing import contiguous_index
+from .spreading import look_up
 
 
 def fit_categories(values: DataFrame, column: str, threshold: int, rare_label: str) -> DataFrame:
@@ -66,12 +68,12 @@ def number_subjects(subjects: DataFrame) -> DataFrame:
 def multi_hot(cleaned: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Item-subject incidence as rows ``i, subject_idx, weight``."""
     tags = cleaned.select("i", F.explode(F.array_distinct("subjects_list")).alias("subject"))
-    return tags.join(vocabulary, "subject").select("i", "subject_idx", F.lit(1.0).alias("weight"))
+    return look_up(tags, vocabulary, "subject").select("i", "subject_idx", F.lit(1.0).alias("weight"))
 
 
 def item_subject_index(cleaned: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Subject indices per item in list order, duplicates kept; items without any have no row."""
-    return subject_rows(cleaned).join(vocabulary, "subject").select("i", "pos", "subject_idx")
+    return look_up(subject_rows(cleaned), vocabulary, "subject").select("i", "pos", "subject_idx")
 
 
 def tfidf(postings: DataFrame, n_docs: int, min_df: int = 1) -> DataFrame:
@@ -81,9 +83,9 @@ def tfidf(postings: DataFrame, n_docs: int, min_df: int = 1) -> DataFrame:
     also those that end up without terms.
     """
     counts = postings.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
-    spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
+    spread = cut_lineage(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df))
     idf = F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0
-    raw = counts.join(spread, "term").select("doc", "term", (F.col("tf") * idf).alias("raw"))
+    raw = look_up(counts, spread, "term").select("doc", "term", (F.col("tf") * idf).alias("raw"))
     # a document is one input row, so its terms fit a window group
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc")))
     return raw.select("doc", "term", (F.col("raw") / length).alias("weight"))

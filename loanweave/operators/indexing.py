@@ -115,7 +115,7 @@ def index_violations(
 def match_rate(index: DataFrame, other: DataFrame, key: str = "i") -> DataFrame:
     """How many indexed ids the other table knows."""
     found = other.select(key).distinct().withColumn("_found", F.lit(1))
-    counts = index.join(found, key, "left").agg(
+    counts = index.join(found.hint("merge"), key, "left").agg(
         F.count(F.lit(1)).alias("n_items"), F.count("_found").alias("matched")
     )
     percent = F.round(F.try_divide(F.col("matched") * 100.0, F.col("n_items")), 1)
