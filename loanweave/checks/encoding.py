@@ -202,7 +202,7 @@ def index_validation(spark, folder):
     vocabulary = encoders.subject_vocabulary(cleaned)
     embeddings = indexing.reindex_embeddings(index, bed.item_embeddings(spark, folder), DIM)
     return indexing.index_violations(
-        coded.join(index, "i"),
+        coded.join(index.hint("merge"), "i"),
         authors.count(),
         publishers.count(),
         encoders.subject_tfidf(cleaned, vocabulary),
