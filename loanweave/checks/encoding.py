@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import catalog, encoders, histories, indexing, matrices
+from ..operators.spreading import look_up
 from ..session import cut_lineage
 from ..sources import testbed as bed
 from . import query
@@ -339,7 +340,8 @@ def user_subject_counts(spark, folder):
     cleaned = cut_lineage(cleaned_items(spark, folder))
     numbered = encoders.number_subjects(catalog.subject_rows(cleaned))
     counts = matrices.user_subject_counts(bed.loans(spark, folder), cleaned, numbered)
-    return counts.join(numbered, F.col("feature") == F.col("subject_idx")).select("u", "subject", "r")
+    named = look_up(counts, numbered.withColumnRenamed("subject_idx", "feature"), "feature")
+    return named.select("u", "subject", "r")
 
 
 @query("user_item_matrix", statement("loans ratings", "SELECT u, i, r FROM ratings"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as vec
 from .routing import weighted_sums
+from .spreading import look_up, spread
 
 
 def user_item_counts(loans: DataFrame) -> DataFrame:
@@ -23,9 +24,10 @@ def user_feature_sums(loans: DataFrame, features: DataFrame) -> DataFrame:
 
     ``features`` holds ``i, feature, weight``. Loans collapse to (user, item) counts before the join.
     """
+    rows = loans.count()
+    pairs = spread(user_item_counts(loans), rows, "i")
     return (
-        user_item_counts(loans)
-        .join(features, "i")
+        pairs.join(features.hint("merge"), "i")
         .groupBy("u", "feature")
         .agg(F.sum(F.col("r") * F.col("weight")).alias("r"))
     )
@@ -59,7 +61,7 @@ def user_subject_counts(loans: DataFrame, cleaned: DataFrame, vocabulary: DataFr
     """Counts straight from the tag lists; a tag listed twice counts twice."""
     tags = cleaned.select("i", F.explode("subjects_list").alias("subject"))
     features = (
-        tags.join(vocabulary, "subject")
+        look_up(tags, vocabulary, "subject")
         .groupBy("i", F.col("subject_idx").alias("feature"))
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
