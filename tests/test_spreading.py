@@ -73,3 +73,24 @@ def test_feature_sums_join_in_bounded_tasks(spark, small_tasks):
     assert "BroadcastHashJoin" not in plan_of(sums)
     found = {(r.u, r.feature): r.r for r in sums.collect()}
     assert found == {(u, f): 1.0 for u in range(30) for f in range(9)} | {(u, 100): 9.0 for u in range(30)}
+
+
+def test_features_are_unrolled_where_their_user_is(spark, small_tasks):
+    loans = spark.createDataFrame([(u, i, 0) for u in range(20) for i in (0, 0, 1, 2)] + [(None, 1, 0)], "u long, i long, t long")
+    features = spark.createDataFrame([(0, 5, 1.0), (0, 5, 1.0), (0, 6, 0.5), (1, 6, 2.0), (7, 7, 1.0)], "i long, feature long, weight double")
+    sums = matrices.user_feature_sums(loans, features)
+    plan = plan_of(sums)
+    # the (user, feature) rows are made after the last shuffle and need none
+    assert "Generate explode" in plan and "Exchange" not in plan[: plan.index("Generate explode")]
+    found = {(r.u, r.feature): r.r for r in sums.collect()}
+    assert found == {(u, f): r for u in range(20) for f, r in ((5, 4.0), (6, 3.0))} | {(None, 6): 2.0}
+
+
+def test_counted_pairs_stand_for_loans(spark, small_tasks):
+    loans = spark.createDataFrame([(u, i, 0) for u in range(9) for i in (0, 0, 1)], "u long, i long, t long")
+    pairs = matrices.counted(loans)
+    assert pairs.rdd.getNumPartitions() >= 1 and "Aggregate" not in plan_of(matrices.user_item_counts(pairs))
+    assert {(r.u, r.i): r.r for r in pairs.collect()} == {(u, i): 2.0 - i for u in range(9) for i in (0, 1)}
+    items = spark.createDataFrame([(0, 3), (1, 3)], "i long, author_code long")
+    by_loans, by_pairs = (sorted(map(tuple, matrices.user_author_matrix(x, items).collect())) for x in (loans, pairs))
+    assert by_loans == by_pairs == [(u, 3, 3.0) for u in range(9)]
