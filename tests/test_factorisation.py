@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from loanweave.operators import factorisation as cmf
+from loanweave.operators import routing
 
 CONFIG = cmf.CMFConfig(factors=4, iterations=1, alpha=3.0, regularization=0.1)
 SIZES = {"item": 9, "author": 4, "publisher": 3, "subject": 6}
@@ -188,3 +190,22 @@ def test_no_exchange_carries_a_vector_per_entry(spark, data):
     parts = cmf.lay_out(cmf.with_confidence(entries, 3.0), False)
     sent = parts.routed(data[4].select(F.lit(0).alias("bit"), F.col("id").alias("other"), "features"))
     assert sent.count() == sent.select("part", "slot").distinct().count() < entries.count()
+
+
+def test_parts_arrive_as_partitions_with_few_columns(spark):
+    rows = [(k, t, b, o, 1.0 + t + o, float(o % 2)) for k in (-1, 2) for t in range(6) for b in (0, 3) for o in range(t + 1)]
+    entries = spark.createDataFrame(rows, "kind int, target long, bit int, other long, c double, p double")
+    for limit in (500, 4):
+        parts = routing.lay_out(entries, limit)
+        assert parts.split_targets == (limit == 4)
+        listed = {(r.part, r.slot): (r.bit, r.other) for r in parts.routes.collect()}
+        found = [
+            (r.kind, r.target, *listed[r.part, slot], c, float(p))
+            for r in parts.runs.collect()
+            for slot, c, p in zip(*routing.run_arrays(r.slots, r.c, r.p))
+        ]
+        assert sorted(found) == sorted(rows)
+        parts.discard()
+    plain = {"code": [5 << 32 | 3 << 16 | 1 << 8 | 1] * 2, "target": [7, 7], "other": [4, 9], "c": [1.0, 2.0]}
+    block = routing._block(pa.table(plain))
+    assert block.column("part").to_pylist() == [5, 5, 5] and block.column("kind").to_pylist() == [2, None, None]
