@@ -296,7 +296,7 @@ _ATTACH_NAMES = "items exploded fine freq texts words grams gram_tf gram_raw gra
     ),
 )
 def attach_singletons(spark, folder):
-    frequencies = sb.subject_frequencies(sb.exploded_subjects(bed.items(spark, folder)))
+    frequencies = cut_lineage(sb.subject_frequencies(sb.exploded_subjects(bed.items(spark, folder))))
     attached = sb.attach_by_ngrams(frequencies.filter("not frequent"), frequencies.filter("frequent"))
     return attached.withColumn("similarity", F.round("similarity", 6))
 

@@ -11,13 +11,15 @@ from ..session import cut_lineage
 from .blocks import dense_product, gram, sparse_product
 from .encoders import ngram_tfidf
 from .indexing import contiguous_index
+from .spreading import spread
 
 MERGE_DISTANCE = 0.25
 ATTACH_SIMILARITY = 0.60
 
 
 def exploded_subjects(items: DataFrame, key: str = "i") -> DataFrame:
-    """One row per item and non-empty normalised tag."""
+    """One row per item and non-empty normalised tag. A small file is one task, so items are dealt out before their tags are read."""
+    items = spread(items.select(key, "Subjects"), items.count(), key)
     tags = items.select(key, F.explode(F.split("Subjects", ";")).alias("subject"))
     return tags.select(key, tx.normalize_subject(F.col("subject")).alias("subject")).filter(F.col("subject") != "")
 
@@ -130,10 +132,12 @@ def attach_by_embedding(singles: DataFrame, canonicals: DataFrame, similarity: f
 
 def attach_by_ngrams(singles: DataFrame, canonicals: DataFrame, similarity: float = ATTACH_SIMILARITY) -> DataFrame:
     """The same with n-gram vectors over both vocabularies, where no embedding service is at hand."""
-    texts = singles.select("subject").unionByName(canonicals.select("subject"))
+    # both are looked at several times, and may hold all the work of reading the tags
+    singles, canonicals = cut_lineage(singles.select("subject").distinct()), cut_lineage(canonicals.select("subject").distinct())
+    texts = singles.unionByName(canonicals)
     numbered, vectors = numbered_vectors(texts)
-    singles = numbered.join(singles.select("subject").distinct(), "subject", "left_semi")
-    canonicals = numbered.join(canonicals.select("subject").distinct(), "subject", "left_semi")
+    singles = numbered.join(singles, "subject", "left_semi")
+    canonicals = numbered.join(canonicals, "subject", "left_semi")
     left = vectors.join(singles.select("id"), "id", "left_semi")
     right = vectors.join(canonicals.select("id"), "id", "left_semi")
     best = sparse_product(

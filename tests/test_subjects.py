@@ -80,3 +80,22 @@ def test_exploded_subjects_drop_empty(spark):
     rows = sb.exploded_subjects(items).orderBy("subject").collect()
     assert [tuple(r) for r in rows] == [(1, "b"), (1, "ete")]
     assert sb.subject_frequencies(sb.exploded_subjects(items)).filter(F.col("frequent")).count() == 0
+
+
+def test_tags_are_read_by_many_tasks_and_once(spark):
+    items = spark.createDataFrame([(i, f"Tag {i % 7} ; other") for i in range(70)] + [(None, "Tag 1")], "i long, Subjects string").coalesce(1)
+    exploded = sb.exploded_subjects(items)
+    assert exploded.rdd.getNumPartitions() >= 8
+    assert exploded.count() == 141
+    read = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    singles = spark.createDataFrame([("guides",), ("guides",), ("zzz",)], "subject string").mapInArrow(note, "subject string")
+    canonicals = spark.createDataFrame([("guide",), ("tapas",)], "subject string")
+    found = {r.subject: r.parent for r in sb.attach_by_ngrams(singles, canonicals, 0.3).collect()}
+    assert found == {"guides": "guide", "zzz": None}
+    assert read.value == 3
