@@ -3,7 +3,7 @@
 import numpy as np
 
 from loanweave.operators import factorisation as cmf
-from loanweave.operators import histories, indexing
+from loanweave.operators import histories, indexing, matrices
 from loanweave.plans import features, tuning
 
 
@@ -45,3 +45,22 @@ def test_items_without_subjects_are_zero_rows(spark):
     rows = indexing.reindex_weights(index, weights).select("i", "item_idx", "subject_idx", "weight").collect()
     assert sorted(map(tuple, rows), key=repr) == [(5, 0, 3, 0.5), (5, 0, 4, 0.25), (6, 1, None, 0.0), (9, 2, None, 0.0)]
     assert tuple(indexing.match_rate(index.select("i"), weights).first()) == (3, 1, 33.3)
+
+
+def test_users_embeddings_are_made_once_for_all_settings(spark, monkeypatch):
+    made = []
+    whole = matrices.user_embeddings
+    monkeypatch.setattr(matrices, "user_embeddings", lambda *given: made.append(1) or whole(*given))
+    loans = spark.createDataFrame([(u, i, 0) for u in range(4) for i in range(6) if (u + i) % 3], "u long, i long, t long")
+    ids = [(i,) for i in range(6)]
+    items = spark.createDataFrame([(i, f"T {i}", "A", "P", "tag", None) for (i,) in ids], 'i long, Title string, Author string, Publisher string, Subjects string, `ISBN Valid` string')
+    catalogue = features.build_catalogue(items, loans)
+    embeddings = spark.createDataFrame([(i, [1.0 + i, 6.0 - i]) for (i,) in ids], "i long, embedding array<double>")
+    held = spark.createDataFrame([(u, (u + 1) % 6) for u in range(4)], "u long, i long")
+    base = cmf.CMFConfig(factors=2, iterations=1, alpha=5.0)
+    users = features.all_users(loans)
+    tried, _, _ = tuning.grid_search(loans, held, catalogue, users, {"factors": [2]}, base, embeddings, 2, (0.0, 0.8), 2)
+    assert len(made) == 1
+    for row in tried:
+        alone = tuning.train_and_evaluate(loans, held, catalogue, base, users, embeddings, 2, row["w_embedding"], 2)[1]
+        assert abs(alone - row["map_at_k"]) < 1e-9
