@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from loanweave.operators import factorisation as cmf
 from loanweave.operators import routing
+from loanweave import session
 
 CONFIG = cmf.CMFConfig(factors=4, iterations=1, alpha=3.0, regularization=0.1)
 SIZES = {"item": 9, "author": 4, "publisher": 3, "subject": 6}
@@ -209,3 +210,31 @@ def test_parts_arrive_as_partitions_with_few_columns(spark):
     plain = {"code": [5 << 32 | 3 << 16 | 1 << 8 | 1] * 2, "target": [7, 7], "other": [4, 9], "c": [1.0, 2.0]}
     block = routing._block(pa.table(plain))
     assert block.column("part").to_pylist() == [5, 5, 5] and block.column("kind").to_pylist() == [2, None, None]
+
+
+def test_parts_are_sent_in_rounds_and_leave_no_files(spark, data, monkeypatch, tmp_path):
+    """The bytes sent at a time are bounded, old factors and entries go, and the fit is the same."""
+    config = cmf.CMFConfig(factors=4, iterations=3, alpha=3.0, regularization=0.1)
+    once = cmf.fit(data[0], config, report_loss=True)
+    shown = lambda fitted: [sorted((*r[:-1], *np.round(r.features, 4)) for r in f.collect()) for f in (fitted.users, fitted.sides)]
+    rounds, ran = routing.Parts.rounds, []
+    monkeypatch.setattr(routing.Parts, "rounds", lambda self, width: ran.append(rounds(self, width)) or ran[-1])
+    monkeypatch.setattr(routing, "ROUND_BYTES", 1_000)
+    monkeypatch.setattr(routing, "ROUND_ENTRIES", 20)
+    folder = tmp_path / "kept"
+    monkeypatch.setattr(routing, "ensure_checkpoint_dir", lambda spark: f"file://{folder}")
+    again = cmf.fit(data[0], config, report_loss=True)
+    assert all(len(r) > 1 for r in ran) and len(ran) == 9
+    assert shown(again) == shown(once) and np.allclose(again.losses, once.losses)
+    assert not list(folder.rglob("*.parquet"))
+
+
+def test_a_written_frame_leaves_no_shuffle(spark):
+    """What a shuffle wrote goes with the query that needed it, and the frame it came from can still be read."""
+    left = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    frame = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    for write in (session.cut_lineage, lambda f: session.stored(f)[0]):
+        before = left()
+        kept = write(frame)
+        assert left() <= before
+        assert sorted(kept.collect()) == sorted(frame.collect())
