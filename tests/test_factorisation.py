@@ -238,3 +238,12 @@ def test_a_written_frame_leaves_no_shuffle(spark):
         kept = write(frame)
         assert left() <= before
         assert sorted(kept.collect()) == sorted(frame.collect())
+
+
+def test_weighted_sums_leave_vectors_of_zeros_out(spark):
+    entries = spark.createDataFrame([(1, 5, 2.0), (1, 6, 3.0), (2, 6, 1.0)], "target long, other long, weight double")
+    vectors = spark.createDataFrame([(5, [1.0, -1.0]), (6, [0.0, 0.0])], "other long, features array<double>")
+    assert [(r.target, r.total) for r in routing.weighted_sums(entries, vectors, 2).collect()] == [(1, [2.0, -2.0])]
+    vectors = spark.createDataFrame([(5, [1.0, -1.0]), (6, [0.0, float("nan")])], "other long, features array<double>")
+    found = {r.target: r.total for r in routing.weighted_sums(entries, vectors, 2).collect()}
+    assert np.isnan(found[1][1]) and np.isnan(found[2][1])
